@@ -171,7 +171,7 @@ def train_boosted(train: DataFrame, config: BoostedConfig | None = None) -> Pipe
     encoded.persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(i: int) -> GBTClassificationModel:
-        return GBTClassifier(
+        trainer = GBTClassifier(
             featuresCol=VECTOR,
             labelCol=LABEL,
             weightCol=WEIGHT,
@@ -183,9 +183,9 @@ def train_boosted(train: DataFrame, config: BoostedConfig | None = None) -> Pipe
             featureSubsetStrategy=str(config.column_share),
             seed=config.seed + i,
             predictionCol=f"_prediction_{i}",
-            rawPredictionCol=f"_raw_{i}",
-            probabilityCol=f"_probability_{i}",
-        ).fit(encoded)
+        )
+        trainer.setRawPredictionCol(f"_raw_{i}").setProbabilityCol(f"_probability_{i}")
+        return trainer.fit(encoded)
 
     try:
         with ThreadPool(config.parallel_trees) as pool:

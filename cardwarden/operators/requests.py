@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardwarden.functions import features as fx
-from cardwarden.functions import loose_values as loose
+from cardwarden.functions.barrier import once
+from cardwarden.functions.loose_values import Loose
 from cardwarden.functions.risk import prob_of_label, risk_level
 from cardwarden.operators.scoring import PREDICTED, PROBS
 from cardwarden.schemas import LOGISTIC_FEATURES
@@ -60,9 +61,9 @@ NOT_NULL = [
     "card1_historical_fraud_rate", "email_domain_fraud_rate",
 ]
 READERS = {
-    "double": loose.to_double,
-    "bigint": loose.to_exact_long,
-    "string": loose.only_text,
+    "double": Loose.to_double,
+    "bigint": Loose.to_exact_long,
+    "string": Loose.only_text,
 }
 
 
@@ -71,17 +72,17 @@ def parse_requests(requests: DataFrame, value: str = "value") -> DataFrame:
     rows = parse_messages(requests, list(REQUEST_FIELDS), value)
     typed, bad = [], [F.col("fields").isNull()]
     for name, (kind, default) in REQUEST_FIELDS.items():
-        sent = F.col("fields")[name]
-        read = READERS[kind](sent).cast(kind)
+        sent = Loose.of(name)
+        read = READERS[kind](sent)
+        filled = read
         if default is REQUIRED:
-            bad.append(read.isNull())
-            filled = read
-        else:
-            bad.append(~loose.is_null(sent) & read.isNull())
-            filled = F.when(loose.is_absent(sent), F.lit(default).cast(kind)).otherwise(read)
+            bad.append(sent.is_null())
+        elif default is not None:
+            filled = F.when(sent.is_absent(), F.lit(default).cast(kind)).otherwise(read)
+        bad.append(~sent.is_null() & F.col("request")[name].isNull())
         typed.append(filled.alias(name))
-    invalid = F.coalesce(F.array_contains(F.array(*bad), True), F.lit(False))
-    return rows.withColumns({"request": F.struct(*typed), "invalid": invalid}).drop("fields")
+    rows = once(rows, request=F.struct(*typed))
+    return once(rows, invalid=F.array_contains(F.array(*bad), True)).drop("fields", "kinds")
 
 
 def _finite(number: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from cardwarden import schemas
+from cardwarden.session import scratch_path
 
 
 def _reader(spark: SparkSession, schema: T.StructType, fmt: str) -> DataFrameReader:
@@ -75,3 +76,14 @@ def materialize(
             writer = writer.partitionBy(partition_by)
     writer.saveAsTable(table)
     return frame.sparkSession.table(table)
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to the shared scratch folder, and read back.
+
+    For a frame that several passes read and no table name is wanted: it is
+    computed once, its lineage ends at the files, and it outlives lost executors.
+    """
+    path = scratch_path(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -14,9 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DoubleType, LongType
+from pyspark.sql.types import DataType, DoubleType, LongType
 
 from cardwarden.functions import loose_values as loose
+from cardwarden.functions.barrier import once
+from cardwarden.functions.loose_values import Loose
 from cardwarden.schemas import DEAD_LETTER, KEY, STREAM_TABLE
 
 REQUIRED_FIELDS = ["TransactionID", "TransactionAmt", "ProductCD"]
@@ -29,81 +31,76 @@ ROUTES = ["valid", "invalid", "cast_error", "malformed"]
 BATCH_COLUMNS = ["ingest_stream", "ingest_batch"]
 
 
-def parse_json_object(value: Column, fields: list[str]) -> Column:
-    """A struct of VARIANT fields, or NULL where the text is not one JSON object.
+def parse_json_objects(rows: DataFrame, fields: list[str], value: str) -> DataFrame:
+    """Add ``fields``, a struct of VARIANT, NULL where the text is not one JSON object.
 
     The text is parsed as the first element of an array whose second element is
     a seal made from the text's own digest. Text that closes the array early, or
     that carries further objects, moves or loses the seal and is refused.
     """
-    seal = F.sha2(value, 256)
+    text = F.col(value)
     columns = ", ".join(f"`{f}`: variant" for f in fields)
     parsed = F.from_json(
-        F.concat(F.lit("["), value, F.lit(', {"__seal": "'), seal, F.lit('"}]')),
+        F.concat(F.lit("["), text, F.lit(', {"__seal": "'), F.col("_seal"), F.lit('"}]')),
         f"array<struct<{columns}, __seal: string>>",
         {"allowSingleQuotes": "false"},
     )
-    sealed = (F.size(parsed) == 2) & (F.get(parsed, F.lit(1))["__seal"] == seal)
+    sealed = once(
+        rows.withColumn("_seal", F.when(F.is_valid_utf8(text), F.sha2(text, 256))), _parsed=parsed
+    )
+    whole = (F.size("_parsed") == 2) & (F.get("_parsed", F.lit(1))["__seal"] == F.col("_seal"))
     # The parser takes +INF and -INF as numbers, which JSON readers do not.
-    odd_infinity = value.contains("INF") & F.regexp_replace(
-        value, r'"(\\.|[^"\\])*"', '""'
+    odd_infinity = text.contains("INF") & F.regexp_replace(
+        text, r'"(\\.|[^"\\])*+"', '""'
     ).rlike("[+-]INF")
-    return F.when(sealed & ~odd_infinity, F.get(parsed, F.lit(0)))
+    return sealed.withColumn(
+        "fields", F.when(whole & ~odd_infinity, F.get("_parsed", F.lit(0)))
+    ).drop("_seal", "_parsed")
 
 
 def parse_messages(
     messages: DataFrame, fields: list[str] | None = None, value: str = "value"
 ) -> DataFrame:
-    """Add ``fields``: the declared fields of each message, NULL if malformed."""
-    text = F.col(value).cast("string")
-    return messages.withColumn(value, text).withColumn(
-        "fields",
-        F.when(
-            F.is_valid_utf8(F.col(value)),
-            parse_json_object(F.col(value), fields or MESSAGE_FIELDS),
-        ),
-    )
+    """Add ``fields``, the declared fields of each message, and their ``kinds``.
+
+    Both are NULL if the message is malformed.
+    """
+    names = fields or MESSAGE_FIELDS
+    text = messages.withColumn(value, F.col(value).cast("string"))
+    parsed = parse_json_objects(text, names, value)
+    return once(parsed, kinds=loose.field_kinds(F.col("fields"), names))
+
+
+def _if_parsed(column: Column) -> Column:
+    return F.when(F.col("fields").isNotNull(), column)
 
 
 def validate(parsed: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Add ``missing``: the names of required fields that are absent or falsy."""
-    checks = [
-        F.when(loose.is_falsy(F.col("fields")[f]), F.lit(f)) for f in required or REQUIRED_FIELDS
-    ]
-    return parsed.withColumn(
-        "missing",
-        F.when(F.col("fields").isNotNull(), F.array_compact(F.array(*checks))),
-    )
+    checks = [F.when(Loose.of(f).is_falsy(), F.lit(f)) for f in required or REQUIRED_FIELDS]
+    return once(parsed, missing=_if_parsed(F.array_compact(F.array(*checks))))
 
 
-def _typed(name: str, data_type) -> Column:
-    field = F.col("fields")[name]
+def _typed(name: str, data_type: DataType) -> Column:
+    field = Loose.of(name)
     if isinstance(data_type, LongType):
-        return loose.to_long(field)
+        return field.to_long()
     if isinstance(data_type, DoubleType):
-        return loose.to_double(field)
-    return loose.text(field)
+        return field.to_double()
+    return field.text()
 
 
 def cast_fields(validated: DataFrame) -> DataFrame:
     """Add ``record`` with the declared types and ``bad_fields`` with failed casts."""
     targets = [f for f in STREAM_TABLE if f.name != STAMP]
-    rows = validated.withColumn(
-        "record",
-        F.when(
-            F.col("fields").isNotNull(),
-            F.struct(*[_typed(f.name, f.dataType).alias(f.name) for f in targets]),
-        ),
-    )
+    typed = F.struct(*[_typed(f.name, f.dataType).alias(f.name) for f in targets])
     failed = []
     for f in targets:
-        field = F.col("fields")[f.name]
-        blank = loose.is_falsy(field) if f.name in GUARDED_FIELDS else loose.is_null(field)
+        field = Loose.of(f.name)
+        blank = field.is_falsy() if f.name in GUARDED_FIELDS else field.is_null()
         failed.append(F.when(F.col("record")[f.name].isNull() & ~blank, F.lit(f.name)))
-    return rows.withColumn(
-        "bad_fields",
-        F.when(F.col("fields").isNotNull(), F.array_compact(F.array(*failed))),
-    )
+    rows = once(validated, record=_if_parsed(typed))
+    return once(rows, bad_fields=_if_parsed(F.array_compact(F.array(*failed))))
 
 
 def route(cast: DataFrame) -> DataFrame:
@@ -131,7 +128,7 @@ def route_messages(messages: DataFrame) -> DataFrame:
     return rows.select(
         "route",
         "record",
-        loose.text(F.col("fields")[KEY]).alias("message_id"),
+        Loose.of(KEY).text().alias("message_id"),
         "missing",
         "bad_fields",
         "value",

@@ -119,7 +119,7 @@ CTES = {
             CASE event_id % {bind.REQUEST_SHAPES} WHEN 5 THEN -5.5 ELSE value END AS TransactionAmt
         FROM ev""",
     "answered": f"""
-        SELECT event_id, TransactionAmt, 'W' AS ProductCD,
+        SELECT event_id, clock, TransactionAmt, 'W' AS ProductCD,
             CASE WHEN shape IN (4, 8) THEN 'invalid_request'
                 WHEN shape IN (3, 5) THEN 'scoring_failed' END AS error,
             CASE WHEN TransactionAmt > -1 THEN round_even(ln(TransactionAmt + 1), 4) END AS log_tx_amt,
@@ -397,7 +397,7 @@ ORACLE: dict[str, str] = {
             CASE WHEN error IS NULL THEN TransactionAmt END AS transaction_amount,
             CASE WHEN error IS NULL THEN 'xgboost' END AS model,
             CASE WHEN error IS NULL THEN clock END AS scored_at
-            FROM (SELECT a.*, r.clock, CASE WHEN error IS NULL THEN {_fixed_score("XGBoost")} END AS p
-                FROM answered a JOIN req r USING (event_id))""",
+            FROM (SELECT event_id, clock, error, TransactionAmt, CASE WHEN error IS NULL THEN {_fixed_score("XGBoost")} END AS p
+                FROM answered)""",
     ),
 }

@@ -16,6 +16,7 @@ from cardwarden.operators.requests import parse_requests, request_features, scor
 from cardwarden.operators.scoring import PREDICTED, PROBS, fraud_scores, score_join
 from cardwarden.plans.feature_tables import feature_frame
 from cardwarden.schemas import FEATURE_TABLE_COLUMNS, KEY, LABEL, STREAM_TABLE
+from cardwarden.sources.tables import stored
 from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded
 from cardwarden.streaming import ingest
 from cardwarden.streaming.preview import preview
@@ -314,12 +315,13 @@ def score_requests_(spark, sf):
 # Models: no SQL equivalent, checked for invariants by the tests ---------------
 
 
-def _train(spark, sf):
-    return splits.train_split(_features(spark, sf))
+def _stored_features(spark, sf):
+    return stored(_features(spark, sf), "ml_features")
 
 
-def _test_scores(model, spark, sf):
-    test = splits.labelled_rows(splits.test_split(_features(spark, sf)))
+def _test_scores(train, features):
+    model = train(splits.train_split(features))
+    test = splits.labelled_rows(splits.test_split(features))
     return models.predict(model, test).select(
         KEY, LABEL, PREDICTED, prob_of_label(F.col(PROBS), 1).alias("fraud_probability")
     )
@@ -327,23 +329,22 @@ def _test_scores(model, spark, sf):
 
 @query
 def train_logistic(spark, sf):
-    return _test_scores(models.train_logistic(_train(spark, sf)), spark, sf)
+    return _test_scores(models.train_logistic, _stored_features(spark, sf))
 
 
 @query
 def train_boosted(spark, sf):
-    return _test_scores(models.train_boosted(_train(spark, sf)), spark, sf)
+    return _test_scores(models.train_boosted, _stored_features(spark, sf))
 
 
 @query
 def model_fraud_scores(spark, sf):
-    features = _features(spark, sf)
+    features = _stored_features(spark, sf)
     model = models.train_boosted(splits.train_split(features))
     return fraud_scores(models.predict(model, splits.labelled_rows(features)))
 
 
 @query
 def feature_importance(spark, sf):
-    return models.feature_importance(spark, models.train_boosted(_train(spark, sf)))
-
-
+    model = models.train_boosted(splits.train_split(_stored_features(spark, sf)))
+    return models.feature_importance(spark, model)
