@@ -10,6 +10,7 @@ Every message gets exactly one route.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,8 +28,6 @@ GUARDED_FIELDS = ["card1", "addr1", "addr2", "dist1"]
 STAMP = "ingested_at"
 MESSAGE_FIELDS = [f.name for f in STREAM_TABLE if f.name != STAMP]
 ROUTES = ["valid", "invalid", "cast_error", "malformed"]
-# Bookkeeping columns of the stream table; a replayed batch overwrites its own rows.
-BATCH_COLUMNS = ["ingest_stream", "ingest_batch"]
 
 
 def parse_json_objects(rows: DataFrame, fields: list[str], value: str) -> DataFrame:
@@ -186,14 +185,16 @@ def create_stream_tables(spark: SparkSession, table: str, dead_letter_table: str
 
 
 def _write_batch_partition(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
+    """Replace the batch's own partition and nothing else."""
     if not rows.sparkSession.catalog.tableExists(table):
         raise ValueError(f"table {table} does not exist; ingest does not create it")
-    (
-        rows.withColumn("ingest_stream", F.lit(stream))
-        .withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
+    if not re.fullmatch(r"[\w.-]+", stream):
+        raise ValueError("a stream name has letters, digits, dots, dashes and underscores only")
+    rows.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {table} "
+        f"PARTITION (ingest_stream = '{stream}', ingest_batch = {int(batch_id)}) "
+        "SELECT * FROM {rows}",
+        rows=rows,
     )
 
 
@@ -218,7 +219,7 @@ def batch_writer(
         routed = batch.persist()
         try:
             write_valid(routed, table, stream, batch_id)
-            write_dead_letters(routed, table, stream, batch_id)
+            write_dead_letters(routed, dead_letter_table, stream, batch_id)
         finally:
             routed.unpersist()
 
