@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 # broadcast of hot keys has a fixed bound of 10,000 rows.
 HOT_SHARE = 1e-4
 # Lanes that rows without a partner in the shuffled join are spread over.
-LANES = 1024
-COLD_LANE = -1
+LANES = 4096
 
 
 def attach_by_key(
@@ -41,16 +40,16 @@ def attach_by_key(
     hot = lookup.where(F.col(weight) >= hot_from).select(
         F.col(key).alias("_hot_key"), packed.alias("_hot")
     )
+    # The lane of a cold key must depend on the key: a constant would be moved out
+    # of the join's keys, and the lanes would no longer part the rows.
+    own_lane = F.pmod(F.xxhash64(key), F.lit(LANES))
     cold = lookup.where(F.col(weight) < hot_from).select(
-        F.col(key).alias("_cold_key"),
-        F.lit(COLD_LANE).cast("bigint").alias("_cold_lane"),
-        packed.alias("_cold"),
+        F.col(key).alias("_cold_key"), own_lane.alias("_cold_lane"), packed.alias("_cold")
     )
-    lane = F.when(
-        F.col(key).isNotNull() & F.col("_hot_key").isNull(), F.lit(COLD_LANE)
-    ).otherwise(F.pmod(F.xxhash64(spread_by), F.lit(LANES)))
+    is_cold = F.col(key).isNotNull() & F.col("_hot_key").isNull()
+    lane = F.when(is_cold, own_lane).otherwise(LANES + F.pmod(F.xxhash64(spread_by), F.lit(LANES)))
     with_hot = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_lane", lane.cast("bigint")
+        "_lane", lane
     )
     joined = with_hot.join(
         cold,
