@@ -13,8 +13,10 @@ def once(rows: DataFrame, **columns: Column) -> DataFrame:
     That is fine for cheap expressions. For a JSON parse that many columns are
     derived from, it multiplies the work and the plan. A one-element ``inline`` is
     a boundary that filters and projections do not cross, and stays in the same
-    stage.
+    stage. The expressions stay in the projection below it, where common parts are
+    shared and long code is split.
     """
-    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
     kept = [c for c in rows.columns if c not in columns]
-    return rows.select(*kept, F.inline(F.array(packed)))
+    computed = rows.select(*kept, *[c.alias(f"_once_{n}") for n, c in columns.items()])
+    packed = F.struct(*[F.col(f"_once_{n}").alias(n) for n in columns])
+    return computed.select(*kept, F.inline(F.array(packed)))

@@ -81,8 +81,10 @@ def parse_requests(requests: DataFrame, value: str = "value") -> DataFrame:
             filled = F.when(sent.is_absent(), F.lit(default).cast(kind)).otherwise(read)
         bad.append(~sent.is_null() & F.col("request")[name].isNull())
         typed.append(filled.alias(name))
+    # One struct, so that the flag below reads values and does not repeat the casts.
     rows = once(rows, request=F.struct(*typed))
-    return once(rows, invalid=F.array_contains(F.array(*bad), True)).drop("fields", "kinds")
+    invalid = F.array_contains(F.array(*bad), True)
+    return rows.withColumn("invalid", invalid).drop("fields", "kinds")
 
 
 def _finite(number: Column) -> Column:

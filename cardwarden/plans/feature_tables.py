@@ -9,21 +9,23 @@ from cardwarden.operators.base_view import base_view
 from cardwarden.operators.ml_features import ml_features
 from cardwarden.operators.splits import test_split, train_split
 from cardwarden.schemas import KEY
-from cardwarden.sources.tables import materialize, register_views
+from cardwarden.sources.tables import materialize, register_views, stored
 
 VIEW = "v_transactions_with_identity"
 
 
 def feature_frame(transactions: DataFrame, identity: DataFrame) -> DataFrame:
-    """The feature table as one lazy plan, for ad hoc queries.
+    """The feature table without named tables, for ad hoc queries.
 
     Card and domain aggregates count transactions and need no identity column, so
-    they read the transaction table and not the joined view.
+    they read the transaction table and not the joined view. They are stored
+    first, like the named tables: their joins then start from a measured size, and
+    where that is small, the wide rows are not shuffled for them.
     """
     return ml_features(
         base_view(transactions, identity),
-        card_aggregates(transactions),
-        email_domain_risk(transactions),
+        stored(card_aggregates(transactions), "card_aggregates"),
+        stored(email_domain_risk(transactions), "email_domain_risk"),
     )
 
 

@@ -17,6 +17,9 @@ def local_session(name: str = "cardwarden", cores: int | str = 8, **conf: str) -
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # The JVM never compiles a method above 8000 bytes; wide projections are
+        # faster outside whole-stage code than interpreted inside it.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")

@@ -67,17 +67,27 @@ def parse_messages(
     names = fields or MESSAGE_FIELDS
     text = messages.withColumn(value, F.col(value).cast("string"))
     parsed = parse_json_objects(text, names, value)
-    return once(parsed, kinds=loose.field_kinds(F.col("fields"), names))
+    return parsed.withColumn("kinds", loose.field_kinds(F.col("fields"), names))
 
 
 def _if_parsed(column: Column) -> Column:
     return F.when(F.col("fields").isNotNull(), column)
 
 
+def _names(checks: list[Column]) -> Column:
+    """The names that are not NULL, as an array.
+
+    Joined and split again: a filter over the array would evaluate every check
+    outside of generated code.
+    """
+    joined = F.concat_ws(",", *checks)
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ","))
+
+
 def validate(parsed: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Add ``missing``: the names of required fields that are absent or falsy."""
     checks = [F.when(Loose.of(f).is_falsy(), F.lit(f)) for f in required or REQUIRED_FIELDS]
-    return once(parsed, missing=_if_parsed(F.array_compact(F.array(*checks))))
+    return parsed.withColumn("missing", _if_parsed(_names(checks)))
 
 
 def _typed(name: str, data_type: DataType) -> Column:
@@ -98,8 +108,9 @@ def cast_fields(validated: DataFrame) -> DataFrame:
         field = Loose.of(f.name)
         blank = field.is_falsy() if f.name in GUARDED_FIELDS else field.is_null()
         failed.append(F.when(F.col("record")[f.name].isNull() & ~blank, F.lit(f.name)))
-    rows = once(validated, record=_if_parsed(typed))
-    return once(rows, bad_fields=_if_parsed(F.array_compact(F.array(*failed))))
+    return validated.withColumn("record", _if_parsed(typed)).withColumn(
+        "bad_fields", _if_parsed(_names(failed))
+    )
 
 
 def route(cast: DataFrame) -> DataFrame:
@@ -119,20 +130,14 @@ def stamp(rows: DataFrame) -> DataFrame:
 
 
 def route_messages(messages: DataFrame) -> DataFrame:
-    """All element-wise steps in one projection chain, without a shuffle.
+    """All element-wise steps in one stage, without a shuffle.
 
     Untyped values are gone from the result, so it can be cached or written.
     """
-    rows = stamp(route(cast_fields(validate(parse_messages(messages)))))
-    return rows.select(
-        "route",
-        "record",
-        Loose.of(KEY).text().alias("message_id"),
-        "missing",
-        "bad_fields",
-        "value",
-        STAMP,
-    )
+    rows = route(cast_fields(validate(parse_messages(messages))))
+    outcome = {c: F.col(c) for c in ("route", "record", "missing", "bad_fields")}
+    routed = once(rows, **outcome, message_id=Loose.of(KEY).text())
+    return stamp(routed.select(*outcome, "message_id", "value"))
 
 
 def conform(routed: DataFrame) -> DataFrame:

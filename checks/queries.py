@@ -50,8 +50,8 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return feature_frame(bind.transactions(spark, sf), bind.identity(spark, sf))
 
 
-def _predictions(spark: SparkSession, sf: str, name: str = "XGBoost") -> DataFrame:
-    return bind.fixed_predict(splits.labelled_rows(_features(spark, sf)), name)
+def _predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return bind.fixed_predict(splits.labelled_rows(_features(spark, sf)))
 
 
 def _routed(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +172,9 @@ def fraud_scores_(spark, sf):
 
 @query
 def score_join_(spark, sf):
-    return rounded(score_join(_predictions(spark, sf), _features(spark, sf)))
+    features = _features(spark, sf)
+    predictions = bind.fixed_predict(splits.labelled_rows(features))
+    return rounded(score_join(predictions, features))
 
 
 @query
@@ -194,8 +196,7 @@ def roc_auc(spark, sf):
     return metrics.roc_auc(scores, LABEL, "p").select(F.round("roc_auc", DIGITS).alias("roc_auc"))
 
 
-def _evaluation(spark, sf, name):
-    test = splits.labelled_rows(splits.test_split(_features(spark, sf)))
+def _evaluation(test, name):
     rows = bind.fixed_predict(test, name).withColumn("p", prob_at(F.col(PROBS), 0))
     measures = metrics.evaluation(rows, LABEL, PREDICTED, "p")
     return measures.select(
@@ -206,8 +207,9 @@ def _evaluation(spark, sf, name):
 
 @query
 def model_comparison(spark, sf):
+    test = splits.labelled_rows(splits.test_split(_features(spark, sf)))
     names = ["Logistic Regression", "XGBoost"]
-    return models.union_all([_evaluation(spark, sf, n) for n in names])
+    return models.union_all([_evaluation(test, n) for n in names])
 
 
 @query
