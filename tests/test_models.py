@@ -7,7 +7,8 @@ from cardwarden.functions.risk import prob_of_label
 from cardwarden.operators import models
 from cardwarden.operators.aggregates import class_weights
 from cardwarden.operators.scoring import PREDICTED, PROBS
-from cardwarden.operators.splits import labelled_rows, test_split, train_split
+from cardwarden.operators.splits import labelled_rows, train_split
+from cardwarden.operators.splits import test_split as held_out
 from cardwarden.plans.model_run import BOOSTED, LOGISTIC, reports, score_table, train_and_compare
 from cardwarden.schemas import LABEL
 from checks import bind
@@ -29,7 +30,7 @@ def logistic(features):
 @pytest.mark.parametrize("name", ["boosted", "logistic"])
 def test_probabilities(name, request, features):
     model = request.getfixturevalue(name)
-    rows = labelled_rows(test_split(features))
+    rows = labelled_rows(held_out(features))
     out = models.predict(model, rows)
     assert out.columns == [*rows.columns, PREDICTED, PROBS]
     assert out.count() == rows.count()
@@ -41,7 +42,7 @@ def test_probabilities(name, request, features):
 
 def test_same_seed_same_model(features, boosted, tmp_path):
     again = models.train_boosted(train_split(features), QUICK)
-    rows = labelled_rows(test_split(features))
+    rows = labelled_rows(held_out(features))
     want = models.predict(boosted, rows)
     assert models.predict(again, rows).exceptAll(want).isEmpty()
     path = str(tmp_path / "model")
@@ -99,11 +100,11 @@ def test_wide_text_is_hashed(features):
     )
     assert models.wide_text_columns(wide, ["P_emaildomain", "card4"], 50) == {"P_emaildomain"}
     config = models.BoostedConfig(rounds=2, parallel_trees=1, max_depth=2, max_categories=50)
-    out = models.predict(models.train_boosted(wide, config), test_split(features))
-    assert out.count() == test_split(features).count()
+    out = models.predict(models.train_boosted(wide, config), held_out(features))
+    assert out.count() == held_out(features).count()
     config = models.LogisticConfig(max_categories=50, iterations=3)
-    out = models.predict(models.train_logistic(wide, config), test_split(features))
-    assert out.count() == test_split(features).count()
+    out = models.predict(models.train_logistic(wide, config), held_out(features))
+    assert out.count() == held_out(features).count()
 
 
 def test_a_stream_gets_the_batch_predictions(spark, boosted, features, tmp_path):
@@ -121,7 +122,7 @@ def test_a_stream_gets_the_batch_predictions(spark, boosted, features, tmp_path)
 
 def test_whole_run(spark, features, tmp_path):
     out = train_and_compare(
-        spark, train_split(features), test_split(features), str(tmp_path), boosted=QUICK
+        spark, train_split(features), held_out(features), str(tmp_path), boosted=QUICK
     )
     rows = out["comparison"].collect()
     assert [r.model for r in rows] == [LOGISTIC, BOOSTED]
