@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cardwarden import schemas
 from cardwarden.operators.base_view import base_view
-from cardwarden.plans.feature_tables import VIEW, build_feature_tables
+from cardwarden.plans.feature_tables import VIEW, build_feature_tables, feature_frame
 from cardwarden.sources import tables
 from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded
 from checks import bind
@@ -101,3 +101,16 @@ def test_messages(spark):
     missing = encoded.where(~F.col("value").contains('"addr1":'))
     assert missing.isEmpty()
     assert read_bounded(bind.messages(spark, SMALL), 7, ["event_id"]).count() == 7
+
+
+def test_small_stored_lookups_do_not_shuffle_the_rows(spark, tmp_path):
+    # Inputs of known size, so that only the lookups' joins are under test.
+    bind.transactions(spark, SMALL).write.parquet(str(tmp_path / "tx"))
+    bind.identity(spark, SMALL).write.parquet(str(tmp_path / "id"))
+    frame = feature_frame(
+        tables.read_transactions(spark, str(tmp_path / "tx")),
+        tables.read_identity(spark, str(tmp_path / "id")),
+    )
+    plan = _plan(frame)
+    assert "Exchange hashpartitioning" not in plan
+    assert plan.count("BroadcastHashJoin") == 5
