@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import bpe, decontaminate, exact_dedup, ngram_join, toxicity
+from cardwarden.llm import bpe, decontaminate, exact_dedup, html_text, ngram_join, ngram_lm, packing, passages, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -39,9 +43,27 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", F.size("items").alias("n_items"), "items", "n_equal")
 
 
-QUERIES = {
-    f.__name__: f for f in (op1_toxicity, op2_ngram_join, op3_byte_bpe, op5_exact_dedup, op6_decontaminate)
-}
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_texts(table(spark, sf_dir, "pages"))
+
+
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
+def op9_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digests(packing.packed_rows(packing.byte_ids(table(spark, sf_dir, "documents"))))
+
+
+_ALL = (
+    op1_toxicity, op2_ngram_join, op3_byte_bpe, op4_token_counts, op5_exact_dedup, op6_decontaminate,
+    op7_html_text, op8_passages, op9_ngram_lm, op10_packing,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE = {
     "op5_exact_dedup": """
