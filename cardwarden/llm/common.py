@@ -49,7 +49,7 @@ def small_side(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= limit else frame
 
 
-def salted_join(many: DataFrame, one: DataFrame, key: str, spread: str, how: str = "inner", lanes: int = 16) -> DataFrame:
+def salted_join(many: DataFrame, one: DataFrame, key: str | list[str], spread: str, how: str = "inner", lanes: int = 16) -> DataFrame:
     """Join on key where many may hold a third of its rows under one key.
 
     Rows of many are dealt over lanes by the column spread; the rows of one are repeated for each lane.
@@ -57,7 +57,7 @@ def salted_join(many: DataFrame, one: DataFrame, key: str, spread: str, how: str
     lane = "_lane"
     left = many.withColumn(lane, F.pmod(F.xxhash64(spread), F.lit(lanes)).cast("int"))
     right = one.withColumn(lane, F.explode(F.array([F.lit(i) for i in range(lanes)])))
-    return left.join(right, [key, lane], how).drop(lane)
+    return left.join(right, [*([key] if isinstance(key, str) else key), lane], how).drop(lane)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

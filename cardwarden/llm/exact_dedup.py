@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import drop, numbered, stored
+from cardwarden.llm.common import drop, numbered, salted_join, stored
 
 #: Characters of a chunk. The chunks of longer texts are dealt over all tasks.
 CHUNK = 1 << 20
@@ -143,10 +143,13 @@ def exact_groups(docs: DataFrame, row: str | None = None) -> DataFrame:
     odd = stored(compared(docs, members), "odd")
     final = prints.join(odd.withColumn("odd", F.lit(True)), "row", "left").withColumn("other", F.when(F.col("odd"), F.col("sha")).otherwise(F.lit("")))
     key = [*group, "other"]
-    totals = final.groupBy(*key).agg(F.count("*").alias("group_size"), last)
-    out = final.join(totals, key).select(
-        "doc_id", "row", F.col("last.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("last.row")).alias("kept"), F.col("sha").alias("text_sha256"),
+    totals = final.groupBy(*key).agg(F.count("*").alias("group_size"), last).where("group_size > 1")
+    # a row that is alone needs no partner; a group that holds a third of all rows is dealt over lanes
+    alone = F.col("group_size").isNull()
+    out = salted_join(final, stored(totals, "totals"), key, "row", "left").select(
+        "doc_id", "row", F.when(alone, F.col("doc_id")).otherwise(F.col("last.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("row") == F.col("last.row"))).alias("kept"), F.col("sha").alias("text_sha256"),
     )
     out = stored(out, "exact")
     drop(prints, many, members, odd)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.llm import bpe, decontaminate, exact_dedup, ngram_join, toxicity
-from cardwarden.llm.common import small_side, stored
+from cardwarden.llm.common import salted_join, small_side, stored
 
 #: SQL for the rows of run(): none, the stages are no SQL. tests/llm compares them with brute force.
 ORACLE_SQL = None
@@ -46,8 +46,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     classes = stored(ngram_join.ngram_classes(rows, ROW).where("label is not null").select("row", "doc_id", "label"), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
     first = classes.groupBy("label").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-    # rows of groups, less the one that stays; a large group is split by adaptive execution
-    gone = classes.join(first, "label").where(F.col("row") != F.col("first.row"))
+    # rows of groups, less the one that stays; a large group is dealt over lanes
+    gone = salted_join(classes, stored(first, "first"), "label", "row").where(F.col("row") != F.col("first.row"))
     return _without(rows, gone)
 
 
