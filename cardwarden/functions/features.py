@@ -54,7 +54,7 @@ def amt_bucket(amount: Column) -> Column:
         F.when(amount < 50, "low")
         .when(amount < 200, "medium")
         .when(amount < 1000, "high")
-        .otherwise("very_high")
+        .when(amount >= 1000, "very_high")
     )
 
 

@@ -9,12 +9,13 @@ RISK_BOUNDS = [("HIGH", 0.8), ("MEDIUM", 0.5), ("LOW", 0.3)]
 
 
 def risk_level(probability: Column, on_rounded: bool = False) -> Column:
-    """Bucket a probability; NULL is SAFE.
+    """Bucket a probability; NULL and NaN are SAFE.
 
     Batch scoring buckets the exact value, request scoring the value rounded to
     six places, so 0.7999999 is MEDIUM in one and HIGH in the other.
     """
-    p = F.bround(probability, 6) if on_rounded else probability
+    p = F.nanvl(probability.cast("double"), F.lit(0.0))
+    p = F.bround(p, 6) if on_rounded else p
     bucket = F.when(p >= RISK_BOUNDS[0][1], RISK_BOUNDS[0][0])
     for name, bound in RISK_BOUNDS[1:]:
         bucket = bucket.when(p >= bound, name)

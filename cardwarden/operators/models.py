@@ -20,7 +20,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -41,6 +41,7 @@ class LogisticConfig:
     iterations: int = 20
     l2: float = 0.1
     balanced: bool = True
+    # Categories of every text column, which is hashed into them; at most max_bins.
     max_categories: int = 200
 
 
@@ -56,6 +57,7 @@ class BoostedConfig:
     max_depth: int = 6
     learn_rate: float = 0.3
     max_bins: int = 256
+    # Categories of every text column, which is hashed into them; at most max_bins.
     max_categories: int = 200
     seed: int = 42
 
@@ -64,50 +66,32 @@ def _quote(name: str) -> str:
     return f"`{name}`"
 
 
-def wide_text_columns(rows: DataFrame, columns: list[str], limit: int) -> set[str]:
-    """Text columns with more than about ``limit`` values, found in one pass."""
-    if not columns:
-        return set()
-    counts = rows.agg(
-        *[F.approx_count_distinct(F.col(c)).alias(c) for c in columns]
-    ).first()
-    return {c for c in columns if counts[c] > limit}
-
-
-def encoding_stages(
-    rows: DataFrame, features: list[str], max_categories: int
-) -> tuple[list, list[str], list[str]]:
+def encoding_stages(features: list[str], width: int) -> tuple[list, list[str], list[str]]:
     """Stages that turn features into number columns, and the names they make.
 
-    Missing numbers become 0. Text columns with few values are indexed by
-    frequency. An index lives on the driver, so a column with many values is
-    hashed into ``max_categories`` buckets instead, which needs no dictionary.
+    Missing numbers become 0. Every text column is hashed into ``width`` categories, whatever
+    number of values it has, so the encoding never depends on the data. The categories
+    are declared as such, and trees split them as sets.
     """
     texts = [f for f in features if f in TEXT_FEATURES]
     numbers = [f for f in features if f not in TEXT_FEATURES]
-    wide = wide_text_columns(rows, texts, max_categories)
-    narrow = [t for t in texts if t not in wide]
-    # Blank text counts as missing, as it does in the null flags.
-    filled = {t: f"coalesce(nullif({_quote(t)}, ''), '<none>')" for t in texts}
     made = [
         f"coalesce(nanvl(CAST({_quote(n)} AS DOUBLE), 0.0D), 0.0D) AS {_quote('num_' + n)}"
         for n in numbers
     ]
-    made += [f"{filled[t]} AS {_quote('txt_' + t)}" for t in narrow]
+    # Blank text counts as missing, as it does in the null flags.
     made += [
-        f"CAST(pmod(xxhash64({filled[t]}), {max_categories}) AS DOUBLE) AS {_quote('cat_' + t)}"
+        f"CAST(pmod(xxhash64(coalesce(nullif({_quote(t)}, ''), '<none>')), {width}) AS STRING) AS {_quote('txt_' + t)}"
         for t in texts
-        if t in wide
     ]
-    stages = [SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__")]
-    if narrow:
-        stages.append(
-            StringIndexer(
-                inputCols=[f"txt_{t}" for t in narrow],
-                outputCols=[f"cat_{t}" for t in narrow],
-                handleInvalid="keep",
-            )
+    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__")]
+    if texts:
+        index = StringIndexerModel.from_arrays_of_labels(
+            [[str(i) for i in range(width)]] * len(texts),
+            inputCols=[f"txt_{t}" for t in texts],
+            outputCols=[f"cat_{t}" for t in texts],
         )
+        stages.append(index)
     return stages, [f"num_{n}" for n in numbers], [f"cat_{t}" for t in texts]
 
 
@@ -116,8 +100,12 @@ def with_class_weight(rows: DataFrame, label: str = LABEL, balanced: bool = True
     if not balanced:
         return rows.withColumn(WEIGHT, F.lit(1.0))
     n = rows.agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+        F.count_if(F.col(label) == 1).alias("pos"),
+        F.count_if(F.col(label) == 0).alias("neg"),
+        F.count_if(~F.col(label).isin(0, 1)).alias("other"),
     ).first()
+    if n["other"]:
+        raise ValueError("labels are 0 or 1")
     if not n["pos"] or not n["neg"]:
         raise ValueError("training rows need both labels")
     total = n["pos"] + n["neg"]
@@ -133,7 +121,7 @@ def train_logistic(train: DataFrame, config: LogisticConfig | None = None) -> Pi
     """L2 logistic regression on one-hot text and plain numbers."""
     config = config or LogisticConfig()
     rows = with_class_weight(labelled_rows(train), balanced=config.balanced)
-    stages, numbers, categories = encoding_stages(rows, config.features, config.max_categories)
+    stages, numbers, categories = encoding_stages(config.features, config.max_categories)
     one_hot = OneHotEncoder(
         inputCols=categories,
         outputCols=[f"hot_{c}" for c in categories],
@@ -164,7 +152,7 @@ def train_boosted(train: DataFrame, config: BoostedConfig | None = None) -> Pipe
     """
     config = config or BoostedConfig()
     rows = with_class_weight(labelled_rows(train), balanced=config.balanced)
-    stages, numbers, categories = encoding_stages(rows, config.features, config.max_categories)
+    stages, numbers, categories = encoding_stages(config.features, config.max_categories)
     assembler = VectorAssembler(inputCols=numbers + categories, outputCol=VECTOR)
     encoder = Pipeline(stages=[*stages, assembler]).fit(rows)
     encoded = encoder.transform(rows).select(LABEL, WEIGHT, VECTOR)

@@ -90,10 +90,15 @@ def validate(parsed: DataFrame, required: list[str] | None = None) -> DataFrame:
     return parsed.withColumn("missing", _if_parsed(_names(checks)))
 
 
+#: Numbers of which the original stores the whole part
+TRUNCATED_FIELDS = ("TransactionID", "card1")
+
+
 def _typed(name: str, data_type: DataType) -> Column:
     field = Loose.of(name)
     if isinstance(data_type, LongType):
-        return field.to_long()
+        # the original takes the whole part of these two only; elsewhere a fraction is an error
+        return field.to_long() if name in TRUNCATED_FIELDS else field.to_exact_long()
     if isinstance(data_type, DoubleType):
         return field.to_double()
     return field.text()
@@ -217,14 +222,19 @@ def batch_writer(
     """A ``foreachBatch`` function that parses once and writes both outputs.
 
     Each batch owns one partition per table and overwrites it, so a batch that
-    runs again after a failure leaves no duplicates.
+    runs again after a failure leaves no duplicates. The partition is named by the id
+    of the streaming query, which lives in its checkpoint: another checkpoint, which
+    counts its batches from 0 again, never overwrites what is there. Outside a
+    streaming query ``stream`` is the name.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        context = batch.sparkSession.sparkContext
+        owner = context.getLocalProperty("sql.streaming.queryId") or stream
         routed = batch.persist()
         try:
-            write_valid(routed, table, stream, batch_id)
-            write_dead_letters(routed, dead_letter_table, stream, batch_id)
+            write_valid(routed, table, owner, batch_id)
+            write_dead_letters(routed, dead_letter_table, owner, batch_id)
         finally:
             routed.unpersist()
 

@@ -207,7 +207,7 @@ def _auc(rows: str) -> str:
             SELECT y, rank() OVER (ORDER BY s)
                 + (count(*) OVER (PARTITION BY s) - 1) / 2::DOUBLE AS r,
                 CAST(sum(y) OVER () AS DOUBLE) AS n1, CAST(sum(1 - y) OVER () AS DOUBLE) AS n0
-            FROM (SELECT isFraud AS y, round(p, 6) AS s FROM {rows})) GROUP BY n1, n0)"""
+            FROM (SELECT isFraud AS y, p AS s FROM {rows})) GROUP BY n1, n0)"""
 
 
 def _comparison() -> str:

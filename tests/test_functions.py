@@ -67,3 +67,10 @@ def test_risk_levels(spark):
 def test_amount_text(spark):
     values = [12.31, 12.0, 12345678.5, 98765432.0, 0.01]
     assert _column(spark, values, "double", amount_text) == [f"${v}" for v in values]
+
+
+def test_odd_numbers_have_a_defined_bucket(spark):
+    rows = spark.createDataFrame([(float("nan"),), (None,), (0.9,)], "p double")
+    both = rows.select(risk_level(F.col("p")).alias("a"), risk_level(F.col("p"), on_rounded=True).alias("b"))
+    assert [(r.a, r.b) for r in both.collect()] == [("SAFE", "SAFE"), ("SAFE", "SAFE"), ("HIGH", "HIGH")]
+    assert rows.select(fx.amt_bucket(F.lit(None).cast("double")).alias("x")).first().x is None

@@ -94,19 +94,28 @@ def test_importance_counts_every_split(spark, boosted, tmp_path):
     assert {r.feature for r in top} <= set(QUICK.features)
 
 
-def test_wide_text_is_hashed(features):
+@pytest.mark.parametrize("values", [20, 5_000])
+def test_text_is_encoded_alike_whatever_its_values(features, values):
     wide = train_split(features).withColumn(
-        "P_emaildomain", F.concat(F.lit("d"), F.col("TransactionID"))
+        "P_emaildomain", F.concat(F.lit("d"), F.col("TransactionID") % values)
     )
-    assert models.wide_text_columns(wide, ["P_emaildomain", "card4"], 50) == {"P_emaildomain"}
     config = models.BoostedConfig(rounds=2, parallel_trees=1, max_depth=2, max_categories=50)
-    out = models.predict(models.train_boosted(wide, config), held_out(features))
+    model = models.train_boosted(wide, config)
+    out = models.predict(model, held_out(features))
+    sizes = [len(labels) for labels in model.stages[1].labelsArray]
+    assert set(sizes) == {50}
     assert out.count() == held_out(features).count()
     config = models.LogisticConfig(max_categories=50, iterations=3)
     out = models.predict(models.train_logistic(wide, config), held_out(features))
     assert out.count() == held_out(features).count()
 
 
+def test_labels_other_than_0_and_1_are_refused(spark):
+    rows = spark.createDataFrame([(0,), (1,), (2,)], "isFraud int")
+    with pytest.raises(ValueError, match="0 or 1"):
+        models.with_class_weight(rows)
+
+
 def test_a_stream_gets_the_batch_predictions(spark, boosted, features, tmp_path):
     features.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(features.schema).parquet(str(tmp_path / "in"))

@@ -110,3 +110,12 @@ def test_a_message_is_parsed_once(spark):
     for frame in (ingest.conform(routed), ingest.dead_letters(routed), ingest.stream_totals(routed)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_json") == 1
+
+
+def test_fractions_are_cast_errors_but_for_two_fields(spark):
+    base = '"TransactionID":12,"TransactionAmt":5,"ProductCD":"W","TransactionDT":1'
+    texts = ["{" + base + x + "}" for x in (', "isFraud": 0.7', ', "tx_hour": 3.9', ', "card1": 3.9', ', "tx_hour": 4.0')]
+    cast = ingest.cast_fields(ingest.validate(ingest.parse_messages(_messages(spark, texts))))
+    rows = cast.select("i", "bad_fields", "record.card1", "record.tx_hour").orderBy("i").collect()
+    assert [list(r.bad_fields) for r in rows] == [["isFraud"], ["tx_hour"], [], []]
+    assert rows[2].card1 == 3 and rows[3].tx_hour == 4

@@ -67,7 +67,8 @@ def test_ingest_restart_and_replay(spark, tables, tmp_path):
     assert _counts(spark, tables) == (good, bad)
 
     # The second batch runs again, as after a failure before its commit.
-    write = ingest.batch_writer(*tables, stream="transactions")
+    owner = spark.table(tables[0]).select("ingest_stream").first()[0]
+    write = ingest.batch_writer(*tables, stream=owner)
     write(ingest.route_messages(messages.where(~half)), 1)
     assert _counts(spark, tables) == (good, bad)
 
@@ -77,6 +78,15 @@ def test_ingest_restart_and_replay(spark, tables, tmp_path):
     assert len(raw.value) > 100
 
 
+def test_two_checkpoints_share_a_table(spark, tables, tmp_path):
+    """Both count their batches from 0, and neither replaces the other's rows."""
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.txt").write_text("".join(f'{{"{name}": {i}}}\n' for i in range(5)))
+        _run(spark, str(tmp_path / name), tables, str(tmp_path / f"checkpoint-{name}"))
+    assert sum(_counts(spark, tables)[1].values()) == 10
+
+
 def test_tables_must_exist(spark, tmp_path):
     (tmp_path / "in").mkdir()
     with pytest.raises(ValueError, match="does not exist"):
