@@ -326,10 +326,13 @@ def ngram_classes(docs: DataFrame, row: str | None = None, width: int = WIDTH, s
     by_node = nodes.join(final, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "rep", "n_rep")
     real = F.when(F.col("rep") != lowest, F.col("rep"))
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = by_node.join(least, "node").groupBy("label").agg(F.min(F.coalesce("least", real)).alias("component_id"))
-    named = by_node.join(named, "label").select("node", "label", "component_id", F.col("n_rep").alias("n_copies"))
+    known = stored(by_node.join(least, "node").withColumn("own", F.coalesce("least", real)), "known")
+    totals = known.groupBy("label").agg(F.min("own").alias("component_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # a component may hold a third of all nodes, so its nodes are dealt over lanes
+    named = salted_join(known, stored(totals, "totals"), "label", "node", "left")
+    named = named.select("node", "label", F.coalesce("component_id", "own").alias("component_id"), F.col("n_rep").alias("n_copies"))
     named = stored(named, "named")
-    drop(pairs, members, labelled, labels, rest, links, more)
+    drop(pairs, members, labelled, labels, rest, links, more, known)
     return _with_classes(rows, named)
 
 
