@@ -6,7 +6,7 @@ a key that holds a third of the rows arrives as one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cardwarden.functions.features import is_late_night, tx_hour
 from cardwarden.schemas import LABEL
@@ -30,9 +30,9 @@ def card_aggregates(transactions: DataFrame) -> DataFrame:
 
 
 def email_domain_risk(transactions: DataFrame) -> DataFrame:
-    """Count and fraud rate of each purchaser email domain."""
+    """Count and fraud rate of each purchaser email domain. A blank one counts as missing, as in the flags."""
     return (
-        transactions.where(F.col("P_emaildomain").isNotNull())
+        transactions.where(F.col("P_emaildomain") != "")
         .groupBy("P_emaildomain")
         .agg(
             F.count(F.lit(1)).alias("email_tx_count"),
@@ -44,10 +44,10 @@ def email_domain_risk(transactions: DataFrame) -> DataFrame:
 def class_weights(rows: DataFrame, label: str = LABEL) -> DataFrame:
     """Weight n / (k * n_c) of each class, which gives every class the same total."""
     counts = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    classes = counts.agg(F.count(F.lit(1))).scalar()
+    classes = Window.partitionBy()  # one row per class
+    total, number = F.sum("n").over(classes), F.count(F.lit(1)).over(classes)
     return counts.select(
-        label, "n", (total.cast("double") / (classes * F.col("n"))).alias("class_weight")
+        label, "n", (total.cast("double") / (number * F.col("n"))).alias("class_weight")
     )
 
 

@@ -7,7 +7,7 @@ into the shape the scoring jobs read.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -19,13 +19,13 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardwarden.functions.risk import label_probabilities, prob_of_label
-from cardwarden.operators.metrics import confusion_metrics, top_k
+from cardwarden.operators.aggregates import class_weights
+from cardwarden.operators.metrics import evaluation, top_k
 from cardwarden.operators.scoring import PREDICTED, PROBS
 from cardwarden.operators.splits import labelled_rows
 from cardwarden.schemas import BOOSTED_FEATURES, LABEL, LOGISTIC_FEATURES, TEXT_FEATURES
@@ -96,25 +96,17 @@ def encoding_stages(features: list[str], width: int) -> tuple[list, list[str], l
 
 
 def with_class_weight(rows: DataFrame, label: str = LABEL, balanced: bool = True) -> DataFrame:
-    """Add n / (2 * n_c) per row, from one counting pass that returns two numbers."""
+    """Add n / (2 * n_c) per row, from one counting pass that returns a row per label."""
     if not balanced:
         return rows.withColumn(WEIGHT, F.lit(1.0))
-    n = rows.agg(
-        F.count_if(F.col(label) == 1).alias("pos"),
-        F.count_if(F.col(label) == 0).alias("neg"),
-        F.count_if(~F.col(label).isin(0, 1)).alias("other"),
-    ).first()
-    if n["other"]:
+    # a third row shows that there are other labels, however many there are
+    counted = class_weights(rows, label).limit(3).collect()
+    weights = {r[label]: r["class_weight"] for r in counted}
+    if not set(weights) <= {0, 1}:
         raise ValueError("labels are 0 or 1")
-    if not n["pos"] or not n["neg"]:
+    if len(weights) < 2:
         raise ValueError("training rows need both labels")
-    total = n["pos"] + n["neg"]
-    return rows.withColumn(
-        WEIGHT,
-        F.when(F.col(label) == 1, F.lit(total / (2 * n["pos"]))).otherwise(
-            F.lit(total / (2 * n["neg"]))
-        ),
-    )
+    return rows.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])))
 
 
 def train_logistic(train: DataFrame, config: LogisticConfig | None = None) -> PipelineModel:
@@ -122,12 +114,10 @@ def train_logistic(train: DataFrame, config: LogisticConfig | None = None) -> Pi
     config = config or LogisticConfig()
     rows = with_class_weight(labelled_rows(train), balanced=config.balanced)
     stages, numbers, categories = encoding_stages(config.features, config.max_categories)
-    one_hot = OneHotEncoder(
-        inputCols=categories,
-        outputCols=[f"hot_{c}" for c in categories],
-        handleInvalid="keep",
-    )
-    assembler = VectorAssembler(inputCols=numbers + one_hot.getOutputCols(), outputCol=VECTOR)
+    hot = [f"hot_{c}" for c in categories]
+    if hot:
+        stages.append(OneHotEncoder(inputCols=categories, outputCols=hot, handleInvalid="keep"))
+    assembler = VectorAssembler(inputCols=numbers + hot, outputCol=VECTOR)
     classifier = LogisticRegression(
         featuresCol=VECTOR,
         labelCol=LABEL,
@@ -139,7 +129,7 @@ def train_logistic(train: DataFrame, config: LogisticConfig | None = None) -> Pi
         rawPredictionCol="_raw",
         probabilityCol="_probability",
     )
-    return Pipeline(stages=[*stages, one_hot, assembler, classifier]).fit(rows)
+    return Pipeline(stages=[*stages, assembler, classifier]).fit(rows)
 
 
 def train_boosted(train: DataFrame, config: BoostedConfig | None = None) -> PipelineModel:
@@ -215,40 +205,31 @@ def predict(model: Transformer, rows: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(predictions: DataFrame, name: str) -> DataFrame:
-    """One row: ROC-AUC, precision, recall and F1 over labelled rows.
+def compare(predictors: dict[str, Callable[[DataFrame], DataFrame]], test: DataFrame) -> DataFrame:
+    """One row per model, in the order given: ROC-AUC, precision, recall and F1 over labelled rows.
 
-    The area is exact for scores of any precision: the evaluator sorts distinct
-    scores over all tasks.
+    A predictor adds what ``predict`` adds, e.g. ``partial(predict, model)``. All of them score the
+    same rows in one pass, and the measures are grouped by model.
     """
-    slim = (
-        labelled_rows(predictions)
-        .select(
-            F.col(LABEL).cast("double").alias("label"),
-            PREDICTED,
+    rows, results = labelled_rows(test), []
+    for place, predictor in enumerate(predictors.values()):
+        result = F.struct(
+            F.lit(place).alias("place"),
+            F.col(PREDICTED).alias("predicted"),
             prob_of_label(F.col(PROBS), 1).alias("score"),
         )
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        auc = BinaryClassificationEvaluator(
-            rawPredictionCol="score", labelCol="label", numBins=0
-        ).evaluate(slim)
-        cells = confusion_metrics(slim, "label", PREDICTED).first()
-    finally:
-        slim.unpersist()
-    return predictions.sparkSession.createDataFrame(
-        [(name, auc, cells["precision"], cells["recall"], cells["f1_score"])],
-        "model string, roc_auc double, precision double, recall double, f1_score double",
+        results.append(f"_result_{place}")
+        rows = predictor(rows).withColumn(results[-1], result).drop(PREDICTED, PROBS)
+    each = rows.select(LABEL, F.explode(F.array(*results)).alias("result")).select(LABEL, "result.*")
+    measures = evaluation(each, LABEL, "predicted", "score", by=["place"])
+    names = test.sparkSession.createDataFrame(list(enumerate(predictors)), "place int, model string")
+    return (
+        names.join(measures, "place", "left")
+        .orderBy("place")
+        .select("model", "roc_auc", "precision", "recall", "f1_score")
     )
 
 
-def compare(models: dict[str, Transformer], test: DataFrame) -> DataFrame:
-    """One row per model, in the order given."""
-    rows = [evaluate(predict(m, test), name) for name, m in models.items()]
-    return union_all(rows)
-
-
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     """By position; names come from the first frame."""
     return reduce(DataFrame.union, frames)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cardwarden.operators import models
@@ -35,7 +37,9 @@ def train_and_compare(
     models.save_model(trained[LOGISTIC], f"{model_folder}/model_logistic_regression")
     models.save_model(trained[BOOSTED], f"{model_folder}/model_xgboost")
     return {
-        "comparison": models.compare(trained, test),
+        "comparison": models.compare(
+            {name: partial(models.predict, model) for name, model in trained.items()}, test
+        ),
         "importance": models.feature_importance(
             spark, trained[BOOSTED], f"{model_folder}/model_xgboost"
         ),

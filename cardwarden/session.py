@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,15 +34,11 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared checkpoint folder the session names.
 
     On a cluster ``spark.checkpoint.dir`` points at storage that every executor
-    reaches. Only a local session may go without it; then a temporary folder of
-    this machine is enough, and is made the checkpoint folder as well.
+    reaches. A session without it uses a folder in its warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to storage shared by the executors")
-        root = tempfile.mkdtemp(prefix="cardwarden-")
-        spark.sparkContext.setCheckpointDir(root)
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/cardwarden/{purpose}-{uuid.uuid4().hex}"

@@ -157,8 +157,8 @@ def fixed_predict(rows: DataFrame, name: str = "XGBoost") -> DataFrame:
     )
 
 
-# Messages come in thirteen shapes, told apart by the event id.
-MESSAGE_SHAPES = 13
+# Messages come in fifteen shapes, told apart by the event id.
+MESSAGE_SHAPES = 15
 MALFORMED_SHAPES = (1, 6, 7, 11, 12)
 _DEVICE = _cases("user_id % 3", ["desktop", "mobile", None])
 
@@ -211,7 +211,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ELSE concat(', "ProductCD": "', ProductCD, '"') END,
                 ', "addr1": ',
                 CASE shape WHEN 10 THEN '"n/a"' ELSE coalesce(CAST(addr1 AS STRING), 'null') END,
-                ', ', substr(rest, 2)) AS whole""",
+                ', ', CASE shape WHEN 13 THEN regexp_replace(substr(rest, 2), '"isFraud":[^,}]*', '"isFraud":0.7')
+                    WHEN 14 THEN regexp_replace(substr(rest, 2), '"tx_hour":[^,}]*', '"tx_hour":3.9')
+                    ELSE substr(rest, 2) END) AS whole""",
         )
         .selectExpr(
             "event_id",

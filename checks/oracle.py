@@ -60,6 +60,22 @@ def _select(columns: dict[str, str]) -> str:
     return ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
 
 
+def _one_feature(p: str) -> str:
+    """Scores of a model of one 0/1 feature, whose probability has a closed form."""
+    return (
+        "SELECT *, CAST(p > 0.5 AS BIGINT) AS predicted FROM ("
+        f"SELECT f.*, {p} AS p FROM feat f JOIN weighted ON is_late_night = v WHERE isFraud IS NOT NULL)"
+    )
+
+
+def _test_scores(rows: str, digits: int) -> str:
+    return _with(
+        rows,
+        f"""SELECT TransactionID, isFraud, predicted AS predicted_isFraud,
+            round(p, {digits}) AS fraud_probability FROM {rows} WHERE TransactionID % 10 >= 8""",
+    )
+
+
 CTES = {
     "ev": bind.EVENTS_DUCKDB,
     "tx": f"SELECT *, TIMESTAMP '2017-11-30 00:00:00' + to_seconds(TransactionDT) "
@@ -70,7 +86,7 @@ CTES = {
     "FROM tx WHERE card1 IS NOT NULL GROUP BY card1",
     "domains": "SELECT P_emaildomain, count(*) AS email_tx_count, "
     "avg(isFraud) AS email_domain_fraud_rate FROM tx "
-    "WHERE P_emaildomain IS NOT NULL GROUP BY P_emaildomain",
+    "WHERE P_emaildomain <> '' GROUP BY P_emaildomain",
     "feat": f"""
         SELECT t.TransactionID, t.isFraud, t.ProductCD,
             {", ".join(("i." if c == "DeviceType" else "t.") + c for c in PASSED)},
@@ -106,7 +122,8 @@ CTES = {
             CASE WHEN shape IN (3, 9) OR (TransactionAmt = 0 AND shape <> 8)
                 THEN 'TransactionAmt' END,
             CASE WHEN shape IN (2, 9) THEN 'ProductCD' END) AS missing,
-            CASE shape WHEN 5 THEN 'TransactionID' WHEN 10 THEN 'addr1' ELSE '' END AS bad_fields
+            CASE shape WHEN 5 THEN 'TransactionID' WHEN 10 THEN 'addr1' WHEN 13 THEN 'isFraud'
+                WHEN 14 THEN 'tx_hour' ELSE '' END AS bad_fields
         FROM msg""",
     "routed": """
         SELECT *, CASE WHEN malformed THEN 'malformed' WHEN missing <> '' THEN 'invalid'
@@ -148,6 +165,14 @@ CTES = {
             0.0::DOUBLE AS D1, 0.0::DOUBLE AS D4, 0.0::DOUBLE AS D10, 0.0::DOUBLE AS D15,
             CAST(NULL AS VARCHAR) AS M4, CAST(NULL AS VARCHAR) AS M5, CAST(NULL AS VARCHAR) AS M6
         FROM req""",
+    # Weighted fraud and other rows of each value of one feature, each class with the same total.
+    "weighted": """
+        SELECT v, sum(w) FILTER (y = 1) AS pos, sum(w) FILTER (y = 0) AS neg FROM (
+            SELECT is_late_night AS v, isFraud AS y,
+                count(*) OVER () / (2 * count(*) OVER (PARTITION BY isFraud))::DOUBLE AS w
+            FROM feat WHERE isFraud IS NOT NULL AND TransactionID % 10 < 8) GROUP BY v""",
+    "logistic1": _one_feature("pos / (pos + neg)"),
+    "boosted1": _one_feature("1 / (1 + exp(-2 * (pos - neg) / (pos + neg)))"),
 }
 NEEDS = {
     "ev": [],
@@ -162,6 +187,9 @@ NEEDS = {
     "routed": ["checked"],
     "req": ["ev"],
     "answered": ["req"],
+    "weighted": ["feat"],
+    "logistic1": ["weighted"],
+    "boosted1": ["weighted"],
 }
 
 
@@ -238,6 +266,8 @@ RECORD = {
     "addr1": "CASE WHEN shape <> 10 THEN addr1 END",
     "addr2": "addr2",
     "dist1": "dist1",
+    "isFraud": "CASE WHEN shape <> 13 THEN isFraud END",
+    "tx_hour": f"CASE WHEN shape <> 14 THEN {_hour('ts')} END",
 }
 
 ORACLE: dict[str, str] = {
@@ -381,7 +411,7 @@ ORACLE: dict[str, str] = {
         "routed",
         """SELECT route, count(*) AS messages, fraud, count(*) - fraud AS legit,
             round(fraud / count(*), 6) AS fraud_share
-            FROM (SELECT route, count(*) FILTER (isFraud = 1 AND NOT malformed)
+            FROM (SELECT route, count(*) FILTER (isFraud = 1 AND NOT malformed AND shape <> 13)
                 OVER (PARTITION BY route) AS fraud FROM routed) GROUP BY route, fraud""",
     ),
     "request_features": _with(
@@ -401,3 +431,33 @@ ORACLE: dict[str, str] = {
                 FROM answered)""",
     ),
 }
+
+# The same rows by other ways: files, tables and a stream in between
+ORACLE |= {
+    # a CSV file does not tell an empty text from a missing one
+    "load_raw_join": f"""
+        SELECT * REPLACE ({", ".join(f"nullif({c}, '') AS {c}" for c in ("P_emaildomain", "R_emaildomain", "DeviceType"))})
+        FROM ({ORACLE["base_view"]})""",
+    "feature_tables": ORACLE["train_split"],
+    "stream_ingest": ORACLE["conform_schema"],
+    "union_scores": _with(
+        "feat",
+        " UNION ALL ".join(
+            f"SELECT TransactionID, '{name}' AS model, round({_fixed_score(name)}, 6) AS fraud_probability "
+            "FROM feat WHERE isFraud IS NOT NULL"
+            for name in bind.FIXED_SCORES
+        ),
+    ),
+    "split_rows": _with(
+        "feat",
+        """SELECT CASE WHEN TransactionID % 10 < 8 THEN 'train' ELSE 'test' END AS split,
+            count(*) AS n FROM feat GROUP BY 1""",
+    ),
+    "logistic_one_feature": _test_scores("logistic1", 5),
+    "boosted_one_feature": _test_scores("boosted1", 9),
+    "boosted_one_feature_scores": _with("boosted1", f"SELECT {SCORE_COLUMNS} FROM boosted1"),
+    "boosted_one_feature_splits": _with(
+        "weighted",
+        "SELECT 'is_late_night' AS feature, CAST(count(*) - 1 AS DOUBLE) AS importance FROM weighted",
+    ),
+}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardwarden.functions.risk import prob_at, prob_of_label, risk_level
@@ -14,9 +14,10 @@ from cardwarden.operators import ml_features as mlf
 from cardwarden.operators.base_view import base_view, with_timestamp
 from cardwarden.operators.requests import parse_requests, request_features, score_requests
 from cardwarden.operators.scoring import PREDICTED, PROBS, fraud_scores, score_join
-from cardwarden.plans.feature_tables import feature_frame
-from cardwarden.schemas import FEATURE_TABLE_COLUMNS, KEY, LABEL, STREAM_TABLE
-from cardwarden.sources.tables import stored
+from cardwarden.plans.feature_tables import build_feature_tables, feature_frame
+from cardwarden.schemas import FEATURE_TABLE_COLUMNS, IDENTITY, KEY, LABEL, STREAM_TABLE, TRANSACTIONS
+from cardwarden.session import scratch_path
+from cardwarden.sources.tables import load_raw, stored
 from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded
 from cardwarden.streaming import ingest
 from cardwarden.streaming.preview import preview
@@ -116,6 +117,39 @@ def labelled_rows(spark, sf):
     return rows.select(KEY, LABEL, "TransactionAmt", "ProductCD")
 
 
+@query
+def split_rows(spark, sf):
+    features = _stored_features(spark, sf)
+    parts = {"train": splits.train_split(features), "test": splits.test_split(features)}
+    return models.union_all([f.agg(F.count("*").alias("n")).select(F.lit(n).alias("split"), "n") for n, f in parts.items()])
+
+
+# Tables ---------------------------------------------------------------------
+
+
+@query
+def load_raw_join(spark, sf):
+    """Both raw tables as CSV files, loaded into bucketed tables and joined."""
+    tables = []
+    for rows, schema in ((bind.transactions(spark, sf), TRANSACTIONS), (bind.identity(spark, sf), IDENTITY)):
+        path, table = scratch_path(spark, "raw"), f"raw_{uuid.uuid4().hex}"
+        rows.write.csv(path, header=True)
+        load_raw(spark, path, table, schema, buckets=8)
+        tables.append(spark.table(table))
+    return base_view(*tables)
+
+
+@query
+def feature_tables(spark, sf):
+    """The training rows, read from the tables that the whole job makes."""
+    database = f"features_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    built = build_feature_tables(
+        spark, bind.transactions(spark, sf), bind.identity(spark, sf), database=database
+    )
+    return rounded(built["train_data"])
+
+
 # Reports --------------------------------------------------------------------
 
 
@@ -172,7 +206,7 @@ def fraud_scores_(spark, sf):
 
 @query
 def score_join_(spark, sf):
-    features = _features(spark, sf)
+    features = _stored_features(spark, sf)
     predictions = bind.fixed_predict(splits.labelled_rows(features))
     return rounded(score_join(predictions, features))
 
@@ -196,20 +230,28 @@ def roc_auc(spark, sf):
     return metrics.roc_auc(scores, LABEL, "p").select(F.round("roc_auc", DIGITS).alias("roc_auc"))
 
 
-def _evaluation(test, name):
-    rows = bind.fixed_predict(test, name).withColumn("p", prob_at(F.col(PROBS), 0))
-    measures = metrics.evaluation(rows, LABEL, PREDICTED, "p")
-    return measures.select(
-        F.lit(name).alias("model"),
-        *[F.round(c, DIGITS).alias(c) for c in ("roc_auc", "precision", "recall", "f1_score")],
-    )
+def _fixed_predictor(name):
+    return lambda rows: bind.fixed_predict(rows, name)
 
 
 @query
 def model_comparison(spark, sf):
-    test = splits.labelled_rows(splits.test_split(_features(spark, sf)))
-    names = ["Logistic Regression", "XGBoost"]
-    return models.union_all([_evaluation(test, n) for n in names])
+    predictors = {n: _fixed_predictor(n) for n in ("Logistic Regression", "XGBoost")}
+    compared = models.compare(predictors, splits.test_split(_features(spark, sf)))
+    measures = ("roc_auc", "precision", "recall", "f1_score")
+    return compared.withColumns({c: F.round(c, DIGITS) for c in measures})
+
+
+@query
+def union_scores(spark, sf):
+    rows = splits.labelled_rows(_stored_features(spark, sf))
+    scored = [
+        bind.fixed_predict(rows, name).select(
+            KEY, F.lit(name).alias("model"), F.round(prob_of_label(F.col(PROBS), 1), 6).alias("fraud_probability")
+        )
+        for name in bind.FIXED_SCORES
+    ]
+    return models.union_all(scored)
 
 
 @query
@@ -272,7 +314,7 @@ def validate_required(spark, sf):
 @query
 def cast_fields(spark, sf):
     cast = ingest.cast_fields(ingest.validate(ingest.parse_messages(bind.messages(spark, sf))))
-    names = ["TransactionID", "TransactionAmt", "card1", "addr1", "addr2", "dist1"]
+    names = ["TransactionID", "TransactionAmt", "card1", "addr1", "addr2", "dist1", "isFraud", "tx_hour"]
     return cast.where(F.col("record").isNotNull()).select(
         "event_id",
         *[F.col("record")[n].alias(n) for n in names],
@@ -280,13 +322,31 @@ def cast_fields(spark, sf):
     )
 
 
-@query
-def conform_schema(spark, sf):
-    rows = ingest.conform(_routed(spark, sf))
+def _conformed(rows):
     names = [f.name for f in STREAM_TABLE if f.name != ingest.STAMP]
     return rows.select(*names, F.col(ingest.STAMP).isNotNull().cast("bigint").alias("is_stamped"))
 
 
+@query
+def conform_schema(spark, sf):
+    return _conformed(ingest.conform(_routed(spark, sf)))
+
+
+@query
+def stream_ingest(spark, sf):
+    """The messages as files, read and written by the streaming job."""
+    path, tag = scratch_path(spark, "messages"), uuid.uuid4().hex
+    written = bind.messages(spark, sf).select("value")
+    written.write.parquet(path)
+    table, refused = f"stream_{tag}", f"refused_{tag}"
+    ingest.create_stream_tables(spark, table, refused)
+    source = spark.readStream.schema(written.schema).parquet(path)
+    ingest.start_ingest(
+        source, table, refused, scratch_path(spark, "ingest"), stream=f"ingest_{tag}", available_now=True
+    ).awaitTermination()
+    return _conformed(spark.table(table))
+
+
 @query
 def dead_letters(spark, sf):
     return ingest.dead_letters(_routed(spark, sf)).select(
@@ -350,3 +410,44 @@ def model_fraud_scores(spark, sf):
 def feature_importance(spark, sf):
     model = models.train_boosted(splits.train_split(_stored_features(spark, sf)))
     return models.feature_importance(spark, model)
+
+
+# Models of one 0/1 feature, whose probabilities have a closed form --------------
+
+
+ONE = ["is_late_night"]
+
+
+def _one_split(features):
+    config = models.BoostedConfig(
+        features=ONE, rounds=1, parallel_trees=1, row_share=1.0, column_share=1.0, max_depth=1
+    )
+    return models.train_boosted(splits.train_split(features), config)
+
+
+def _rounded_scores(rows, digits):
+    return rows.withColumn("fraud_probability", F.round("fraud_probability", digits))
+
+
+@query
+def logistic_one_feature(spark, sf):
+    config = models.LogisticConfig(features=ONE, l2=0.0, iterations=100)
+    features = _stored_features(spark, sf)
+    return _rounded_scores(_test_scores(lambda t: models.train_logistic(t, config), features), 5)
+
+
+@query
+def boosted_one_feature(spark, sf):
+    features = _stored_features(spark, sf)
+    return _rounded_scores(_test_scores(lambda _: _one_split(features), features), DIGITS)
+
+
+@query
+def boosted_one_feature_scores(spark, sf):
+    features = _stored_features(spark, sf)
+    return rounded(fraud_scores(models.predict(_one_split(features), splits.labelled_rows(features))))
+
+
+@query
+def boosted_one_feature_splits(spark, sf):
+    return models.feature_importance(spark, _one_split(_stored_features(spark, sf)))

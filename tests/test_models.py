@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardwarden.functions.risk import prob_of_label
+from cardwarden.functions.risk import label_probabilities, prob_of_label
 from cardwarden.operators import models
-from cardwarden.operators.aggregates import class_weights
+from cardwarden.operators.aggregates import class_weights, email_domain_risk
 from cardwarden.operators.scoring import PREDICTED, PROBS
 from cardwarden.operators.splits import labelled_rows, train_split
 from cardwarden.operators.splits import test_split as held_out
@@ -143,3 +143,21 @@ def test_whole_run(spark, features, tmp_path):
     assert made["rate_by_risk"].agg(F.sum("transactions")).first()[0] == scores.count()
     assert made["overall_rate"].first().transactions == features.count()
     assert made["late_night_lift"].count() == 1 and made["rate_by_product"].count() == 5
+
+
+def test_models_are_compared_in_one_pass(spark):
+    def fixed(share):
+        return lambda rows: rows.withColumns(
+            {PREDICTED: (F.col("x") * share > 0.5).cast("bigint"), PROBS: label_probabilities(F.col("x") * share)}
+        )
+
+    rows = spark.createDataFrame([(0, 0.1), (1, 0.9), (1, 0.4), (0, 0.6), (None, 0.3)], "isFraud int, x double")
+    got = models.compare({"b": fixed(1.0), "a": fixed(0.5)}, rows).collect()
+    assert [(r.model, r.roc_auc, r.precision, r.recall) for r in got] == [("b", 0.75, 0.5, 0.5), ("a", 0.75, None, 0.0)]
+    empty = models.compare({"b": fixed(1.0)}, rows.where("false")).collect()
+    assert [(r.model, r.roc_auc, r.f1_score) for r in empty] == [("b", None, None)]
+
+
+def test_a_blank_domain_is_missing(spark):
+    rows = spark.createDataFrame([("", 1), ("a.com", 0), (None, 1)], "P_emaildomain string, isFraud int")
+    assert [r.P_emaildomain for r in email_domain_risk(rows).collect()] == ["a.com"]

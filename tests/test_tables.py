@@ -28,7 +28,7 @@ def csv_folders(spark, tmp_path_factory):
 def test_csv_reads_equal_the_source(spark, csv_folders):
     want = bind.transactions(spark, SMALL)
     got = tables.read_transactions(spark, csv_folders["tx"], "csv")
-    assert got.schema == schemas.TRANSACTIONS or len(got.columns) == 394
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in schemas.TRANSACTIONS]
     # An empty CSV field and a missing one are the same.
     blank = F.when(F.col("P_emaildomain") != "", F.col("P_emaildomain")).alias("mail")
     columns = ["TransactionID", "isFraud", "TransactionAmt", "card1", "card4", "D15", "M9", blank]
