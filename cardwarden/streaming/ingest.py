@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DataType, DoubleType, LongType
+from pyspark.sql.types import DataType, DoubleType, LongType, StructType
 
 from cardwarden.functions import loose_values as loose
 from cardwarden.functions.barrier import once
@@ -28,6 +28,8 @@ GUARDED_FIELDS = ["card1", "addr1", "addr2", "dist1"]
 STAMP = "ingested_at"
 MESSAGE_FIELDS = [f.name for f in STREAM_TABLE if f.name != STAMP]
 ROUTES = ["valid", "invalid", "cast_error", "malformed"]
+# Partition columns of the output tables: the streaming query's id and the number of its batch.
+BATCH_PARTITION = ["ingest_stream", "ingest_batch"]
 
 
 def parse_json_objects(rows: DataFrame, fields: list[str], value: str) -> DataFrame:
@@ -184,20 +186,33 @@ def stream_totals(routed: DataFrame) -> DataFrame:
     )
 
 
+def create_batch_table(spark: SparkSession, table: str, schema: StructType) -> None:
+    """Create a table that is partitioned by streaming query and batch."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}, ingest_stream string, ingest_batch bigint) "
+        f"USING parquet PARTITIONED BY ({', '.join(BATCH_PARTITION)})"
+    )
+
+
 def create_stream_tables(spark: SparkSession, table: str, dead_letter_table: str) -> None:
     """Create the two output tables. Ingest itself never creates them."""
-    for name, schema in ((table, STREAM_TABLE), (dead_letter_table, DEAD_LETTER)):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        spark.sql(
-            f"CREATE TABLE {name} ({columns}, ingest_stream string, ingest_batch bigint) "
-            "USING parquet PARTITIONED BY (ingest_stream, ingest_batch)"
-        )
+    create_batch_table(spark, table, STREAM_TABLE)
+    create_batch_table(spark, dead_letter_table, DEAD_LETTER)
+
 
+def write_batch(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
+    """Replace the batch's own partition and nothing else.
 
-def _write_batch_partition(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
-    """Replace the batch's own partition and nothing else."""
-    if not rows.sparkSession.catalog.tableExists(table):
+    A table that has no partitions by batch, only the columns of ``rows``, is appended to: there
+    a batch that runs again after a failure adds its rows again.
+    """
+    catalog = rows.sparkSession.catalog
+    if not catalog.tableExists(table):
         raise ValueError(f"table {table} does not exist; ingest does not create it")
+    if not {c.name for c in catalog.listColumns(table)}.issuperset(BATCH_PARTITION):
+        rows.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
+        return
     if not re.fullmatch(r"[\w.-]+", stream):
         raise ValueError("a stream name has letters, digits, dots, dashes and underscores only")
     rows.sparkSession.sql(
@@ -209,11 +224,16 @@ def _write_batch_partition(rows: DataFrame, table: str, stream: str, batch_id: i
 
 
 def write_valid(routed: DataFrame, table: str, stream: str, batch_id: int) -> None:
-    _write_batch_partition(conform(routed), table, stream, batch_id)
+    write_batch(conform(routed), table, stream, batch_id)
 
 
 def write_dead_letters(routed: DataFrame, table: str, stream: str, batch_id: int) -> None:
-    _write_batch_partition(dead_letters(routed), table, stream, batch_id)
+    write_batch(dead_letters(routed), table, stream, batch_id)
+
+
+def batch_owner(batch: DataFrame, stream: str) -> str:
+    """Id of the streaming query that the batch belongs to; outside of one, ``stream``."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or stream
 
 
 def batch_writer(
@@ -229,8 +249,7 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        context = batch.sparkSession.sparkContext
-        owner = context.getLocalProperty("sql.streaming.queryId") or stream
+        owner = batch_owner(batch, stream)
         routed = batch.persist()
         try:
             write_valid(routed, table, owner, batch_id)

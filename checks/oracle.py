@@ -440,6 +440,7 @@ ORACLE |= {
         FROM ({ORACLE["base_view"]})""",
     "feature_tables": ORACLE["train_split"],
     "stream_ingest": ORACLE["conform_schema"],
+    "stream_scores": ORACLE["score_requests"],
     "union_scores": _with(
         "feat",
         " UNION ALL ".join(

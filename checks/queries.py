@@ -21,6 +21,7 @@ from cardwarden.sources.tables import load_raw, stored
 from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded
 from cardwarden.streaming import ingest
 from cardwarden.streaming.preview import preview
+from cardwarden.streaming.scoring import create_score_table, start_scoring
 from checks import bind
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +375,22 @@ def score_requests_(spark, sf):
     return answers.drop("clock", "value")
 
 
+@query
+def stream_scores(spark, sf):
+    """The requests as files, read, scored and written by the streaming job."""
+    path, tag = scratch_path(spark, "requests"), uuid.uuid4().hex
+    written = bind.requests(spark, sf)
+    written.write.parquet(path)
+    table = f"scores_{tag}"
+    source = spark.readStream.schema(written.schema).parquet(path)
+    create_score_table(source, table)
+    start_scoring(
+        source, bind.fixed_predict, table, scratch_path(spark, "scoring"), clock=F.col("clock"),
+        stream=table, available_now=True,
+    ).awaitTermination()
+    return spark.table(table).drop("clock", "value", *ingest.BATCH_PARTITION)
+
+
 # Models: no SQL equivalent, checked for invariants by the tests ---------------
 
 

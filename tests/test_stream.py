@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwarden.operators.requests import score_requests
-from cardwarden.sources.messages import encode_messages, read_messages
+from cardwarden.sources.messages import encode_messages, filter_attr, read_messages, with_attributes
+from cardwarden.schemas import STREAM_TABLE
 from cardwarden.streaming import ingest
+from cardwarden.streaming.scoring import create_score_table, start_scoring
 from checks import bind
 from tests.conftest import SMALL
 
@@ -139,3 +141,68 @@ def test_stream_totals_in_complete_mode(spark, tmp_path):
     assert got["valid"].fraud + got["valid"].legit == got["valid"].messages
 
 
+def test_append_to_a_table_of_the_declared_columns(spark, tables, tmp_path):
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in reversed(STREAM_TABLE.fields))
+    spark.sql("DROP TABLE IF EXISTS plain_transactions")
+    spark.sql(f"CREATE TABLE plain_transactions ({columns}) USING parquet")
+    messages = bind.messages(spark, SMALL)
+    _write(messages, tmp_path / "in")
+    outputs = ("plain_transactions", tables[1])
+    _run(spark, tmp_path / "in", outputs, tmp_path / "checkpoint")
+    want = ingest.conform(ingest.route_messages(messages)).drop("ingested_at")
+    got = spark.table("plain_transactions").select(want.columns)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty()
+    spark.sql("DROP TABLE plain_transactions")
+
+
+def test_scoring_restart_and_replay(spark, tmp_path):
+    requests = bind.requests(spark, SMALL)
+    half, source = F.col("event_id") < 500, str(tmp_path / "requests")
+    spark.sql("DROP TABLE IF EXISTS scores")
+    create_score_table(requests, "scores")
+
+    def run():
+        stream = spark.readStream.schema(requests.schema).parquet(source)
+        start_scoring(
+            stream, bind.fixed_predict, "scores", str(tmp_path / "checkpoint"),
+            clock=F.col("clock"), available_now=True,
+        ).awaitTermination()
+        spark.catalog.refreshTable("scores")
+
+    requests.where(half).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert spark.table("scores").count() == requests.where(half).count()
+    requests.where(~half).coalesce(1).write.mode("append").parquet(source)
+    run()
+    want = score_requests(requests, bind.fixed_predict, clock=F.col("clock"))
+    got = spark.table("scores").select(want.columns)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).isEmpty()
+
+    # The last batch was written, but its commit was lost: it runs again and changes nothing.
+    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    run()
+    again = spark.table("scores").select(want.columns)
+    assert again.count() == want.count()
+    assert again.exceptAll(want).isEmpty()
+    spark.sql("DROP TABLE scores")
+
+
+def test_headers_become_attributes(spark):
+    frame = spark.sql(
+        """SELECT * FROM VALUES
+        (1, array(named_struct('key', 'is_fraud', 'value', binary('0')),
+                  named_struct('key', 'is_fraud', 'value', binary('1')),
+                  named_struct('key', 'empty', 'value', CAST(NULL AS BINARY)))),
+        (2, array(named_struct('key', 'is_fraud', 'value', binary('0')))),
+        (3, CAST(NULL AS ARRAY<STRUCT<key: STRING, value: BINARY>>)) AS t(id, headers)"""
+    )
+    got = with_attributes(frame)
+    assert {r.id: r.attributes for r in got.collect()} == {
+        1: {"is_fraud": "1", "empty": None}, 2: {"is_fraud": "0"}, 3: None,
+    }
+    assert [r.id for r in filter_attr(got, "is_fraud", "1").collect()] == [1]
+    assert with_attributes(frame.drop("headers")).columns == ["id"]
