@@ -86,10 +86,11 @@ def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
                 [
                     batch["doc_id"],
                     batch["row"],
+                    batch["print"],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
                 ],
-                ["doc_id", "row", "n_shingles", "node"],
+                ["doc_id", "row", "print", "n_shingles", "node"],
             )
 
 
@@ -229,9 +230,9 @@ def _compare(batches: Iterator[pa.RecordBatch], similar: int) -> Iterator[pa.Rec
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, similar: int) -> DataFrame:
     """Of the pairs (a, b) of nodes, those that link, by comparing whole sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = stored(nodes.join(wanted, "node").select("node", F.col("rep").alias("doc_id"), F.col("n_rep")), "chosen")
-    texts = docs.join(small_side(chosen), "doc_id").select("node", "text", "n_rep")
-    # several rows may have the representative's doc_id; keep the one whose set is meant
+    chosen = stored(nodes.join(wanted, "node").select("node", "rep.*"), "chosen")
+    texts = docs.join(small_side(chosen), ["doc_id", "print"]).select("node", "text")
+    # several rows may have the representative's doc_id and text; keep one
     sets = texts.mapInArrow(lambda b: _packed_right(b, width), "node long, set binary")
     sets = stored(sets.dropDuplicates(["node"]), "sets")
     found = (
@@ -269,15 +270,17 @@ def ngram_classes(docs: DataFrame, row: str | None = None, width: int = WIDTH, s
     spark = docs.sparkSession
     docs = numbered(docs, row)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "row", F.col("text").cast("string").alias("text"))
-    rows = stored(docs.mapInArrow(lambda b: _describe(b, width), "doc_id long, row long, n_shingles long, node long"), "shingles")
+    docs = docs.withColumn("print", F.xxhash64("text"))
+    rows = stored(docs.mapInArrow(lambda b: _describe(b, width), "doc_id long, row long, print long, n_shingles long, node long"), "shingles")
     docs = docs.drop("row")
-    # A representative per node, to fetch its text by. Rows without doc_id get theirs by a marker below every id.
+    # A representative per node, to fetch its text by: doc_id, with a marker below every id for rows without one,
+    # and a hash of the text, as many rows may have no doc_id or the same
     lowest = -(1 << 63)
     keyed = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(lowest)))
     nodes = (
         rows.where("node is not null")
         .groupBy("node")
-        .agg(F.min(F.coalesce("doc_id", F.lit(lowest))).alias("rep"), F.count("*").alias("n_rep"))
+        .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(lowest)).alias("doc_id"), "print")).alias("rep"), F.count("*").alias("n_rep"))
     )
     nodes = stored(nodes, "nodes")
     table = frequency_table(docs, width)
@@ -324,7 +327,7 @@ def ngram_classes(docs: DataFrame, row: str | None = None, width: int = WIDTH, s
     more = _verified(rest, nodes, keyed, width, similar)
     final = components(links.unionByName(more))
     by_node = nodes.join(final, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "rep", "n_rep")
-    real = F.when(F.col("rep") != lowest, F.col("rep"))
+    real = F.when(F.col("rep.doc_id") != lowest, F.col("rep.doc_id"))
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     known = stored(by_node.join(least, "node").withColumn("own", F.coalesce("least", real)), "known")
     totals = known.groupBy("label").agg(F.min("own").alias("component_id"), F.count("*").alias("n")).where("n > 1").drop("n")

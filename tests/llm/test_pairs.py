@@ -184,3 +184,14 @@ def test_clashing_columns_and_empty_tables(spark, documents, prose):
         columns = [c for c in run(base).columns if c not in ("row", "label")]
         assert sorted(run(odd).select(columns).collect(), key=repr) == sorted(run(base).select(columns).collect(), key=repr)
         assert run(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_near_copies_whose_rows_share_an_id_or_have_none(spark, documents, prose):
+    """Each set is fetched by its own row only, and the classes are those of brute force."""
+    rows = []
+    for i in range(12):
+        text = prose(60, 900 + i)
+        doc_id = None if i % 2 else 7
+        rows += [(doc_id, text), (doc_id, text + " mure"), (100 + i, text + " tile")]
+    got = ngram_join.ngram_classes(documents(rows)).select("doc_id", "n_shingles", "component_id")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == near_classes(rows)
