@@ -195,3 +195,14 @@ def test_near_copies_whose_rows_share_an_id_or_have_none(spark, documents, prose
         rows += [(doc_id, text), (doc_id, text + " mure"), (100 + i, text + " tile")]
     got = ngram_join.ngram_classes(documents(rows)).select("doc_id", "n_shingles", "component_id")
     assert sorted((tuple(r) for r in got.collect()), key=repr) == near_classes(rows)
+
+
+def test_passage_whose_seeds_all_lie_in_earlier_and_later_rows(documents, prose):
+    """The two that share 60 words meet, though the first and the last of each seed hold 36 of them at most."""
+    passage = prose(60, 70).split()
+    parts = [" ".join(passage[:36]), " ".join(passage[24:])]
+    around = lambda k, text: prose(60, 710 + 2 * k) + " " + text + " " + prose(60, 711 + 2 * k)
+    rows = [(k, around(k, parts[k % 2])) for k in range(4)] + [(10, around(10, " ".join(passage))), (11, around(11, " ".join(passage)))]
+    rows += [(k, around(k, parts[k % 2])) for k in range(20, 24)]
+    got = passages.passages(documents(rows)).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in got} == {(11, 10)} and all(r.n_equal >= 60 for r in got)
