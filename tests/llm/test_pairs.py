@@ -206,3 +206,42 @@ def test_passage_whose_seeds_all_lie_in_earlier_and_later_rows(documents, prose)
     rows += [(k, around(k, parts[k % 2])) for k in range(20, 24)]
     got = passages.passages(documents(rows)).collect()
     assert {(r.doc_id, r.other_doc_id) for r in got} == {(11, 10)} and all(r.n_equal >= 60 for r in got)
+
+
+def test_passages_inside_a_chain_that_is_not_alike_enough():
+    r = np.random.default_rng(5)
+    new = lambda n: r.integers(1, 1 << 32, n).astype(np.uint64)
+    p, q = new(51), new(51)
+    # an insertion between two passages
+    got = passages.shared_passages(np.concatenate([new(30), p, q, new(30)]), np.concatenate([new(20), p, new(28), q, new(20)]))
+    assert [(f[0], f[4]) for f in got] == [(30, 51), (81, 51)] and all(f[4] >= 0.8 * max(f[1], f[3]) for f in got)
+    # other words between them
+    got = passages.shared_passages(np.concatenate([p, new(40), q]), np.concatenate([p, new(40), q]))
+    assert [(f[0], f[1], f[4]) for f in got] == [(0, 51, 51), (91, 51, 51)]
+    # an equal passage between stretches with every third word changed
+    a = new(300)
+    b = np.where((np.arange(300) % 3 == 0) & (abs(np.arange(300) - 150) > 30), new(300), a)
+    got = passages.shared_passages(a, b)
+    assert len(got) == 1 and got[0][0] <= 120 and got[0][0] + got[0][1] >= 181 and got[0][4] >= 0.8 * got[0][1]
+
+
+def test_stretches_equal_brute_force():
+    r = np.random.default_rng(6)
+    for _ in range(30):
+        kinds = np.array([(1, 1, 1), (1, 1, 0), (1, 0, 0), (0, 1, 0)])
+        columns = kinds[r.choice(4, 160, p=[0.76, 0.12, 0.06, 0.06])]
+        fits = []
+        for i, j in combinations(range(161), 2):
+            x, y, e = columns[i:j].sum(0)
+            if min(x, y) >= passages.LEAST_WORDS and 5 * e >= 4 * max(x, y) and columns[i, 2] and columns[j - 1, 2]:
+                fits.append(j - i)
+        found = passages.stretches(columns)
+        assert max((j - i for i, j in found), default=0) == max(fits, default=0)
+        for i, j in found:
+            x, y, e = columns[i:j].sum(0)
+            assert min(x, y) >= 50 and 5 * e >= 4 * max(x, y)
+
+
+def test_a_chain_takes_the_next_predecessor_where_the_best_is_too_far():
+    parts = [(0, 0, 200), (250, 250, 20), (275, 275, 10)]
+    assert passages.chains(parts) == [parts[:1], parts[1:]]
