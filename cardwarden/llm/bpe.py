@@ -250,8 +250,8 @@ def encoder(name: str, pattern: str) -> Encoder:
     return Encoder(Vocabulary(read_ranks(SparkFiles.get(name))), pattern)
 
 
-def _encode(batches: Iterator[pa.RecordBatch], name: str, pattern: str, keep_ids: bool) -> Iterator[pa.RecordBatch]:
-    model = encoder(name, pattern)
+def _encoded(batches: Iterator[pa.RecordBatch], model: Encoder) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Parts of the batches, each with the ids of its texts."""
     for whole in batches:
         at = 0
         lengths = [len(x.as_py() or "") for x in whole["text"]] if whole.num_rows else []
@@ -262,17 +262,46 @@ def _encode(batches: Iterator[pa.RecordBatch], name: str, pattern: str, keep_ids
                 end += 1
             batch = whole.slice(at, end - at)
             at = end
-            ids = model.encode_batch([t or "" for t in batch["text"].to_pylist()])
-            raw = [i.astype("<u4").tobytes() for i in ids]
-            decoded = [model.vocabulary.decode(i) for i in ids]
-            columns = {
-                "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in raw]),
-                "decoded_sha256": pa.array([hashlib.sha256(d).hexdigest() for d in decoded]),
-            }
-            if keep_ids:
-                columns |= {"ids": pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.binary())}
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns.values()], ["doc_id", *columns])
+            yield batch, model.encode_batch([t or "" for t in batch["text"].to_pylist()])
+
+
+def _encode(batches: Iterator[pa.RecordBatch], name: str, pattern: str, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    model = encoder(name, pattern)
+    for batch, ids in _encoded(batches, model):
+        raw = [i.astype("<u4").tobytes() for i in ids]
+        decoded = [model.vocabulary.decode(i) for i in ids]
+        columns = {
+            "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in raw]),
+            "decoded_sha256": pa.array([hashlib.sha256(d).hexdigest() for d in decoded]),
+        }
+        if keep_ids:
+            columns |= {"ids": pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.binary())}
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns.values()], ["doc_id", *columns])
+
+
+def _ids(batches: Iterator[pa.RecordBatch], name: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    model = encoder(name, pattern)
+    for batch, ids in _encoded(batches, model):
+        raw = [np.append(i, model.vocabulary.size).astype("<i4").tobytes() for i in ids]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(raw, pa.binary())], ["doc_id", "ids"])
+
+
+def _sent(docs: DataFrame, rank_file: str) -> tuple[DataFrame, str]:
+    """doc_id and text of docs, and the name of the rank file, which Spark sends to the executors."""
+    docs.sparkSession.sparkContext.addFile(rank_file)
+    return docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text"), rank_file.rsplit("/", 1)[-1]
+
+
+def end_id(rank_file: str) -> int:
+    """The id that token_ids() puts after a text: the first that is no token. The next one is free for padding."""
+    return max(read_ranks(rank_file).values()) + 1
+
+
+def token_ids(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """(doc_id, ids): the token ids of each text and end_id(), as little-endian 32-bit integers; see bpe_round_trip()."""
+    rows, name = _sent(docs, rank_file)
+    return rows.mapInArrow(lambda b: _ids(b, name, pattern), "doc_id long, ids binary")
 
 
 def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, keep_ids: bool = False) -> DataFrame:
@@ -283,11 +312,8 @@ def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, keep_ids: bool
     decodes to nothing. Texts of any length are encoded whole. Repeated rows and null ids come out as they
     went in; other columns are ignored; an empty table gives an empty one.
     """
-    spark = docs.sparkSession
-    spark.sparkContext.addFile(rank_file)
-    name = rank_file.rsplit("/", 1)[-1]
+    rows, name = _sent(docs, rank_file)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if keep_ids:
         schema += ", ids array<int>, decoded binary"
-    rows = docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text")
     return rows.mapInArrow(lambda b: _encode(b, name, pattern, keep_ids), schema)

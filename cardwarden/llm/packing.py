@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 ROW_IDS = 8_192
 #: Ids that a task packs together.
 GROUP_IDS = 4_000_000
-#: Id after the last byte of a text, and the padding.
+#: Id after the last byte of a text, and the padding; token ids have their own, see bpe.end_id().
 END_ID, PAD_ID = 256, 257
 
 _PACKED = (

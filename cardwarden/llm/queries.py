@@ -56,7 +56,9 @@ def op9_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_digests(packing.packed_rows(packing.byte_ids(table(spark, sf_dir, "documents"))))
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokens = bpe.token_ids(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return packing.packed_digests(packing.packed_rows(tokens, pad=bpe.end_id(ranks) + 1))
 
 
 _ALL = (

@@ -15,6 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from cardwarden.llm import bpe, html_text, ngram_lm, packing, token_counts, toxicity
+from cardwarden.llm.queries import QUERIES
 from tests.llm.conftest import edges
 from tests.llm.test_pairs import words_of
 
@@ -123,6 +124,19 @@ def test_packing_loses_nothing(spark, documents, prose):
     assert packing.packed_rows(packing.byte_ids(documents([]))).count() == 0
 
 
+def test_packing_query_packs_the_ids_of_the_library(spark, documents, tmp_path):
+    r = random.Random(8)
+    rows = [(k, odd_text(r, 40)) for k in range(20)] + [(30, ""), (31, None)]
+    documents(rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    want = {i: [*library.encode_ordinary(t or ""), library.n_vocab] for i, t in rows}
+    (row,) = QUERIES["op10_packing"](spark, str(tmp_path)).collect()
+    ids = [x for d in row.doc_ids for x in want[d]]
+    assert sorted(row.doc_ids) == sorted(want) and row.n_ids == len(ids)
+    ids += [library.n_vocab + 1] * (packing.ROW_IDS - len(ids))
+    assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
+
+
 def test_best_fit_takes_the_tightest_row():
     r = random.Random(5)
     lengths = [r.randint(1, 50) for _ in range(300)]
