@@ -17,12 +17,6 @@ def scratch_root(spark: SparkSession) -> str:
     return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
-def numbered(docs: DataFrame, row: str | None) -> DataFrame:
-    """docs with a column `row`: the one that is named, or else a number that another reading of docs repeats
-    if docs is read from files. Whatever else is called so is replaced."""
-    return docs.withColumn("row", F.col(row) if row else F.monotonically_increasing_id())
-
-
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """frame, written once to the shared folder and read from there.
 
@@ -44,6 +38,25 @@ def drop(*frames: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def numbered(docs: DataFrame, row: str | None) -> DataFrame:
+    """docs with a column `row` in place of whatever else is called so: the one that is named, or else a new number.
+
+    New numbers depend on how Spark splits the input, which may differ from one reading to the next. So they are written
+    once, with doc_id and text only, and all later joins read that table; drop_numbered() deletes it. A row that
+    is named must be stored already.
+    """
+    if row:
+        return docs.withColumn("row", F.col(row))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return stored(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
+def drop_numbered(rows: DataFrame, row: str | None) -> None:
+    """Delete what numbered(docs, row) wrote, if it did."""
+    if not row:
+        drop(rows)
+
+
 def small_side(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A stored frame of narrow rows: marked for broadcast if it has at most limit rows, else left to the planner."""
     return F.broadcast(frame) if frame.count() <= limit else frame

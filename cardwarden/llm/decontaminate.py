@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import drop, numbered, salted_join, small_side, stored
+from cardwarden.llm.common import drop, drop_numbered, numbered, salted_join, small_side, stored
 from cardwarden.llm.words import constants, mix, word_hashes
 
 #: Masks; 1: the token counts, 0: it is ignored. Any two substitutions in 13 tokens leave a hit of some mask.
@@ -192,8 +192,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, row: str | None = None) -> D
     side gives an empty one. Extra columns are ignored.
     """
     spark = docs.sparkSession
-    docs = numbered(docs, row)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "row", _plain("text").alias("words"))
+    rows = numbered(docs, row)
+    docs = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "row", _plain("text").alias("words"))
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), _plain("text").alias("words")).distinct()
     items = stored(items.mapInArrow(_item_rows, "item_id long, n_item int, item binary").where("n_item > 0"), "items")
     item_seeds = stored(items.select("item_id", "item").mapInArrow(_item_seeds, "seed long, item_id long, item_pos int"), "item-seeds")
@@ -212,6 +212,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, row: str | None = None) -> D
     found = sides.mapInArrow(_verify, "doc_id long, row long, item_id long, start int, n_words int, n_equal int")
     found = stored(found.distinct(), "overlaps")
     drop(item_seeds, hits, near)
+    drop_numbered(rows, row)
     return found
 
 

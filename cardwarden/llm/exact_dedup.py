@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import drop, numbered, salted_join, stored
+from cardwarden.llm.common import drop, drop_numbered, numbered, salted_join, stored
 
 #: Characters of a chunk. The chunks of longer texts are dealt over all tasks.
 CHUNK = 1 << 20
@@ -130,8 +130,8 @@ def exact_groups(docs: DataFrame, row: str | None = None) -> DataFrame:
     row. keep_id is that row's doc_id, group_size the number of equal rows. Extra columns are ignored.
     An empty table gives an empty one. Very long texts are cut into chunks, see the module.
     """
-    docs = numbered(docs, row)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "row", normalised().alias("norm")).withColumn("sha", F.sha2("norm", 256))
+    rows = numbered(docs, row)
+    docs = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "row", normalised().alias("norm")).withColumn("sha", F.sha2("norm", 256))
     prints = stored(fingerprints(docs), "prints")
     group = ["n_bytes", "f1", "f2"]
     last = F.max(F.struct("doc_id", "row")).alias("last")
@@ -153,4 +153,5 @@ def exact_groups(docs: DataFrame, row: str | None = None) -> DataFrame:
     )
     out = stored(out, "exact")
     drop(prints, many, members, odd)
+    drop_numbered(rows, row)
     return out

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import components, drop, numbered, salted_join, small_side, stored
+from cardwarden.llm.common import components, drop, salted_join, small_side, stored
 from cardwarden.llm.words import constants, mix, windows, word_hashes
 
 WIDTH = 5
@@ -268,7 +268,8 @@ def ngram_classes(docs: DataFrame, row: str | None = None, width: int = WIDTH, s
     that is known, or null. Repeated rows come out as often as they went in. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    docs = numbered(docs, row)
+    # new numbers are read once, into `shingles`; nothing is joined with docs by them
+    docs = docs.withColumn("row", F.col(row) if row else F.monotonically_increasing_id())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "row", F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("print", F.xxhash64("text"))
     rows = stored(docs.mapInArrow(lambda b: _describe(b, width), "doc_id long, row long, print long, n_shingles long, node long"), "shingles")

@@ -18,8 +18,8 @@ ROW = "_row_number"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """docs, its rows numbered by their place in the stored input, which every reading of it repeats."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """docs, its rows numbered. Written once: another reading of docs may be split, and so numbered, in another way."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:

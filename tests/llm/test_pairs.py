@@ -10,8 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cardwarden.llm import decontaminate, exact_dedup, ngram_join, passages
-from cardwarden.llm.common import components
+from cardwarden.llm.common import components, numbered
 from cardwarden.llm.words import SEGMENT, word_hashes
 from tests.llm.conftest import SCHEMA, edges
 
@@ -245,3 +246,19 @@ def test_stretches_equal_brute_force():
 def test_a_chain_takes_the_next_predecessor_where_the_best_is_too_far():
     parts = [(0, 0, 200), (250, 250, 20), (275, 275, 10)]
     assert passages.chains(parts) == [parts[:1], parts[1:]]
+
+
+def test_rows_keep_their_numbers_when_the_input_is_split_in_another_way(spark, documents, prose, tmp_path):
+    rows = [(k, prose(60, k)) for k in range(40)]
+    documents(rows).coalesce(1).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/documents")
+    conf, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    for number, name in ((lambda: numbered(docs, None), "row"), (lambda: corpus_pipeline._numbered(docs), corpus_pipeline.ROW)):
+        made = number()
+        try:
+            first = {r[name]: r.doc_id for r in made.select(name, "doc_id").collect()}
+            spark.conf.set(conf, "1500")
+            again = made.select(name, "doc_id", F.lit(1)).collect()
+        finally:
+            spark.conf.set(conf, before)
+        assert first == {r[name]: r.doc_id for r in again} and len(first) == 40
