@@ -19,11 +19,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import BROADCAST_ROWS, drop, salted_join, stored
+from cardwarden.llm.common import BROADCAST_ROWS, salted_join, stored
 
-#: A subtree is template if it is in so many different pages of its host, and in this share of them.
+#: A subtree is template if it is in so many different pages of its host, however large the host is.
 LEAST_PAGES = 4
-LEAST_SHARE = 0.05
 
 # Names of HTML
 _BLOCKS = frozenset(
@@ -226,7 +225,7 @@ def main_text(source: str | None, templates: frozenset[int] | set[int] = frozens
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, subtree, page): each candidate's hash, and a hash of what the page says elsewhere."""
+    """(host, subtree, page): each candidate's hash, and a hash of what the page says."""
     for batch in batches:
         hosts, hashes, pages = [], [], []
         for host, source in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
@@ -235,9 +234,9 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = parse(source)
             said = xxhash.xxh3_64_intdigest(repr([t for e, t in page.blocks if not page.silent[e]]).encode("utf-8", "surrogatepass")) >> 1
             found = {page.hash[e] for e in candidates(page)}
-            hosts += [host] * (len(found) + 1)
-            hashes += [None, *found]  # None: the page itself, for the host's total
-            pages += [said] * (len(found) + 1)
+            hosts += [host] * len(found)
+            hashes += found
+            pages += [said] * len(found)
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(pages, pa.int64())], ["host", "subtree", "page"])
 
 
@@ -247,19 +246,28 @@ def host(url: str = "url"):
 
 
 def site_templates(pages: DataFrame) -> DataFrame:
-    """(host, templates): hashes of the subtrees that many different pages of the host share.
+    """(host, subtree): hashes of the subtrees that LEAST_PAGES different pages of the host share.
 
-    A page is told from others by its text, so copies of one page count once. As a template is in a share of
-    LEAST_SHARE of a host's pages at least, the list of a host is bounded however many pages it has.
+    A page is told from others by its text, so copies of one page count once. A host may have any number of templates:
+    one in each row.
     """
     seen = pages.select(host().alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(_subtrees, "host string, subtree long, page long")
     counted = seen.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    counted = stored(counted, "subtrees")
-    total = counted.where("subtree is null").select("host", F.col("n").alias("pages"))
-    shared = counted.where(F.col("subtree").isNotNull() & (F.col("n") >= LEAST_PAGES)).join(total, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages"))
-    lists = stored(shared.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("templates")), "templates")
-    drop(counted)
-    return lists
+    return stored(counted.where(F.col("n") >= LEAST_PAGES).select("host", "subtree"), "templates")
+
+
+def _page_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, host, subtree): each candidate's hash."""
+    for batch in batches:
+        rows, hosts, hashes = [], [], []
+        for row, host, source in zip(batch["row"].to_pylist(), batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
+            if source:
+                page = parse(source)
+                found = {page.hash[e] for e in candidates(page)}
+                rows += [row] * len(found)
+                hosts += [host] * len(found)
+                hashes += found
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["row", "host", "subtree"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,11 +286,16 @@ def page_texts(pages: DataFrame) -> DataFrame:
     an empty text. A null url, or one without host, counts as of one site without name. Repeated rows
     come out each; other columns are ignored; an empty table gives an empty one; pages of any length are read whole.
     """
-    templates = site_templates(pages)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host().alias("host"))
-    size = templates.agg(F.coalesce(F.sum(F.size("templates")), F.lit(0))).first()[0]
-    if size <= BROADCAST_ROWS:
-        joined = rows.join(F.broadcast(templates), "host", "left")
+    templates = site_templates(pages)
+    if templates.count() <= BROADCAST_ROWS:
+        lists = templates.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+        joined = rows.join(F.broadcast(lists), "host", "left")
     else:
-        joined = salted_join(rows, templates, "host", "page_id", "left", lanes=64)
+        # numbers are written once: another reading may number the rows in another way
+        rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "pages")
+        # of the templates of a host, each page gets its own; a block of all pages of a large host is dealt over lanes
+        own = rows.select("row", "host", "html").mapInArrow(_page_subtrees, "row long, host string, subtree long")
+        own = salted_join(own, templates, ["host", "subtree"], "row", lanes=64)
+        joined = rows.join(own.groupBy("row").agg(F.collect_list("subtree").alias("templates")), "row", "left")
     return joined.select("page_id", "url", "html", "templates").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -168,6 +168,15 @@ def test_template_of_a_site_goes_and_its_text_stays(spark):
     assert html_text.page_texts(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_template_of_one_section_of_a_large_host_goes(spark, monkeypatch, broadcast):
+    """4 of 200 pages have the block: less than any share that a small host would ask for."""
+    monkeypatch.setattr(html_text, "BROADCAST_ROWS", broadcast)
+    pages = [(k, f"https://h.example/{k}", f"<div><p>Text {k}</p></div>" + ("<div><p>Notice</p></div>" if k < 4 else "")) for k in range(200)]
+    got = html_text.page_texts(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {k: f"Text {k}" for k in range(200)}
+
+
 def test_marked_article_and_what_is_no_text():
     page = """<header>Site</header><nav><ul><li>Menu</ul></nav><aside>Side</aside><article><header><h1>Head</h1></header>
     <p>One <i>two</i> three<script>no()</script>.<p>Four<div class="share-box ad">Buy</div><form><p>Mail</p></form>
