@@ -187,7 +187,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, row: str | None = None) -> D
     docs needs doc_id and text, benchmark item_id and text. row names a column that numbers the rows of
     docs, else one is added. Tokens are words, A-Z lower-cased, punctuation as white space. A stretch is n_words
     long from word `start` on, n_equal of its words are those of the item; it has LEAST_TOKENS
-    equal words, or all of a shorter item, and at least LEAST_SHARE of its words are equal. Null and
+    equal words, or all of a shorter item, and at least LEAST_SHARE of its words are equal. Only stretches with a hit of
+    some mask are found: surely those of 13 words with two substitutions, not all with three, nor any that has
+    every fourth word substituted. Null and
     empty texts and null item_ids give nothing; repeated rows come out each; an empty table on either
     side gives an empty one. Extra columns are ignored.
     """
