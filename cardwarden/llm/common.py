@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a fixed, small width up to which a measured side is broadcast.
@@ -73,6 +73,22 @@ def salted_join(many: DataFrame, one: DataFrame, key: str | list[str], spread: s
     return left.join(right, [*([key] if isinstance(key, str) else key), lane], how).drop(lane)
 
 
+def ranked(rows: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """rows, written in this order, with `place`: 0, 1, 2 and so on over all of them.
+
+    The rows are dealt over tasks by range. What lies before a range is known from one count per range, so no task
+    sees all rows. Ties keep the order in which they were written.
+    """
+    numbered_ = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    dealt = stored(numbered_, label)
+    range_ = F.shiftright("_at", 33).alias("_range")
+    counts = dealt.groupBy(range_).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))  # a row per task
+    starts = stored(counts.select("_range", F.coalesce(before, F.lit(0)).alias("_start")), f"{label}-ranges")
+    placed = dealt.withColumn("_range", F.shiftright("_at", 33)).join(small_side(starts), "_range")
+    return placed.withColumn("place", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_range", "_start")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): label is the smallest node that can be reached. Nodes without an edge are absent.
 

@@ -32,7 +32,7 @@ def test_empty_documents(spark, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
     assert "pipeline" in entry.queries() and set(ORACLE) <= set(entry.oracle_sql())
 
 
