@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cardwarden.functions import features as fx
+from cardwarden.operators.history import FOLD, TIME, attach_card_history, attach_out_of_fold
 from cardwarden.operators.lookup import attach_by_key
 from cardwarden.schemas import FEATURE_TABLE_COLUMNS, KEY
 
@@ -47,13 +48,20 @@ def ml_features(view: DataFrame, cards: DataFrame, domains: DataFrame) -> DataFr
     """One row per row of the view, 40 columns.
 
     ``cards`` and ``domains`` are the aggregates of this module's neighbours, best
-    as stored tables: the planner then knows their size.
+    as stored tables: the planner then knows their size. In place of the aggregates,
+    ``cards`` may be a ``card_history`` and ``domains`` rates by fold.
     """
     rows = null_flags(amount_features(time_features(view)))
-    rows = attach_by_key(rows, cards, "card1", weight="card1_tx_count", spread_by=KEY)
-    rows = attach_by_key(
-        rows, domains, "P_emaildomain", weight="email_tx_count", spread_by=KEY
-    )
+    if TIME in cards.columns:
+        rows = attach_card_history(rows, cards)
+    else:
+        rows = attach_by_key(rows, cards, "card1", weight="card1_tx_count", spread_by=KEY)
+    if FOLD in domains.columns:
+        rows = attach_out_of_fold(rows, domains, "P_emaildomain")
+    else:
+        rows = attach_by_key(
+            rows, domains, "P_emaildomain", weight="email_tx_count", spread_by=KEY
+        )
     base_rate = F.lit(fx.BASE_FRAUD_RATE)
     return rows.withColumns(
         {

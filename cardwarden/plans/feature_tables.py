@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardwarden.operators.aggregates import card_aggregates, email_domain_risk
 from cardwarden.operators.base_view import base_view
+from cardwarden.operators.history import card_history, out_of_fold_rates
 from cardwarden.operators.ml_features import ml_features
 from cardwarden.operators.splits import test_split, train_split
 from cardwarden.schemas import KEY
@@ -29,6 +30,19 @@ def feature_frame(transactions: DataFrame, identity: DataFrame) -> DataFrame:
     )
 
 
+def unbiased_feature_frame(transactions: DataFrame, identity: DataFrame) -> DataFrame:
+    """The feature table, its card columns from earlier transactions only and its domain rates from other folds.
+
+    The same columns as ``feature_frame``, for training without labels that leak.
+    """
+    rates = out_of_fold_rates(transactions, "P_emaildomain", "email_domain_fraud_rate")
+    return ml_features(
+        base_view(transactions, identity),
+        stored(card_history(transactions), "card_history"),
+        stored(rates, "email_domain_rates"),
+    )
+
+
 def build_feature_tables(
     spark: SparkSession,
     transactions: DataFrame,

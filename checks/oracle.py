@@ -432,6 +432,50 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+_BEFORE = """WINDOW h AS (PARTITION BY card1 ORDER BY TransactionDT RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+_OTHERS = (
+    "(sum(isFraud) OVER (PARTITION BY {0}) - coalesce(sum(isFraud) OVER (PARTITION BY {0}, TransactionID % 5), 0))"
+    " / nullif(count(isFraud) OVER (PARTITION BY {0}) - count(isFraud) OVER (PARTITION BY {0}, TransactionID % 5), 0)"
+)
+CTES |= {
+    "history": f"""
+        SELECT TransactionID, count(*) OVER h AS card1_tx_count, avg(TransactionAmt) OVER h AS card1_avg_amt,
+            sqrt(CAST(count(u) OVER h * sum(u * u) OVER h - (sum(u) OVER h) * (sum(u) OVER h) AS DOUBLE)
+                / nullif(CAST(count(u) OVER h * (count(u) OVER h - 1) AS DOUBLE), 0)) / 10000 AS card1_std_amt, avg(isFraud) OVER h AS card1_historical_fraud_rate
+        FROM (SELECT *, CAST(round(TransactionAmt * 10000) AS HUGEINT) AS u FROM tx WHERE card1 IS NOT NULL) {_BEFORE}""",
+    "folds": f"""
+        SELECT TransactionID, CASE WHEN card1 IS NOT NULL THEN {_OTHERS.format("card1")} END AS card1_historical_fraud_rate,
+            CASE WHEN P_emaildomain <> '' THEN {_OTHERS.format("P_emaildomain")} END AS email_domain_fraud_rate
+        FROM tx""",
+}
+NEEDS |= {"history": ["tx"], "folds": ["tx"]}
+_UNBIASED = [c for c in FEATURE_TABLE_COLUMNS if c != "amt_zscore_vs_card"]
+_REPLACED = {
+    "card1_tx_count": "h.card1_tx_count",
+    "card1_avg_amt": "round(h.card1_avg_amt, 9)",
+    "card1_std_amt": "round(h.card1_std_amt, 9)",
+    "card1_historical_fraud_rate": "round(coalesce(h.card1_historical_fraud_rate, 0.035), 9)",
+    "email_domain_fraud_rate": "round(coalesce(o.email_domain_fraud_rate, 0.035), 9)",
+}
+ORACLE |= {
+    "card_history": _with(
+        "history",
+        """SELECT TransactionID, card1_tx_count, round(card1_avg_amt, 9) AS card1_avg_amt,
+            round(card1_std_amt, 9) AS card1_std_amt,
+            round(card1_historical_fraud_rate, 9) AS card1_historical_fraud_rate
+            FROM tx LEFT JOIN history USING (TransactionID)""",
+    ),
+    "out_of_fold": _with(
+        "folds", f"SELECT TransactionID, {_features(['card1_historical_fraud_rate', 'email_domain_fraud_rate'])} FROM folds"
+    ),
+    "stream_bounded": "SELECT count(*) // 2 AS taken, count(*) // 2 AS different FROM events",
+}
+CTES["unbiased"] = f"""
+    SELECT {", ".join(f"{_REPLACED.get(c, 'f.' + c)} AS {c}" for c in _UNBIASED)}
+    FROM feat f LEFT JOIN history h USING (TransactionID) JOIN folds o USING (TransactionID)"""
+NEEDS["unbiased"] = ["feat", "history", "folds"]
+ORACLE["unbiased_features"] = _with("unbiased", "SELECT * FROM unbiased")
+
 # The same rows by other ways: files, tables and a stream in between
 ORACLE |= {
     # a CSV file does not tell an empty text from a missing one
@@ -440,6 +484,7 @@ ORACLE |= {
         FROM ({ORACLE["base_view"]})""",
     "feature_tables": ORACLE["train_split"],
     "stream_ingest": ORACLE["conform_schema"],
+    "stream_dedup": ORACLE["conform_schema"],
     "stream_scores": ORACLE["score_requests"],
     "union_scores": _with(
         "feat",

@@ -12,14 +12,19 @@ from cardwarden.operators import aggregates as agg
 from cardwarden.operators import metrics, models, splits
 from cardwarden.operators import ml_features as mlf
 from cardwarden.operators.base_view import base_view, with_timestamp
+from cardwarden.operators.history import (
+    attach_card_history, attach_out_of_fold, card_history, out_of_fold_rates,
+)
 from cardwarden.operators.requests import parse_requests, request_features, score_requests
 from cardwarden.operators.scoring import PREDICTED, PROBS, fraud_scores, score_join
-from cardwarden.plans.feature_tables import build_feature_tables, feature_frame
+from cardwarden.plans.feature_tables import build_feature_tables, feature_frame, unbiased_feature_frame
 from cardwarden.schemas import FEATURE_TABLE_COLUMNS, IDENTITY, KEY, LABEL, STREAM_TABLE, TRANSACTIONS
 from cardwarden.session import scratch_path
 from cardwarden.sources.tables import load_raw, stored
-from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded
+from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded, read_messages
 from cardwarden.streaming import ingest
+from cardwarden.streaming.bounded import take_messages
+from cardwarden.streaming.dedup import start_dedup
 from cardwarden.streaming.preview import preview
 from cardwarden.streaming.scoring import create_score_table, start_scoring
 from checks import bind
@@ -125,6 +130,31 @@ def split_rows(spark, sf):
     return models.union_all([f.agg(F.count("*").alias("n")).select(F.lit(n).alias("split"), "n") for n, f in parts.items()])
 
 
+@query
+def card_history_(spark, sf):
+    """Of every transaction, what its card did before."""
+    rows = bind.transactions(spark, sf).select(KEY, LABEL, "card1", "TransactionDT", "TransactionAmt")
+    known = attach_card_history(rows, stored(card_history(rows), "card_history"))
+    return rounded(known).select(
+        KEY, "card1_tx_count", "card1_avg_amt", "card1_std_amt", "card1_historical_fraud_rate"
+    )
+
+
+@query
+def out_of_fold(spark, sf):
+    """Of every transaction, the rates of its card and domain over the other folds."""
+    rows = bind.transactions(spark, sf).select(KEY, LABEL, "card1", "P_emaildomain")
+    for key, rate in (("card1", "card1_historical_fraud_rate"), ("P_emaildomain", "email_domain_fraud_rate")):
+        rows = attach_out_of_fold(rows, stored(out_of_fold_rates(rows, key, rate), "rates"), key)
+    return rounded(rows.drop("card1", "P_emaildomain", LABEL))
+
+
+@query
+def unbiased_features(spark, sf):
+    rows = unbiased_feature_frame(bind.transactions(spark, sf), bind.identity(spark, sf))
+    return rounded(rows).drop("amt_zscore_vs_card")
+
+
 # Tables ---------------------------------------------------------------------
 
 
@@ -335,19 +365,48 @@ def conform_schema(spark, sf):
 
 @query
 def stream_ingest(spark, sf):
-    """The messages as files, read and written by the streaming job."""
+    """The messages as files of lines, read and written by the streaming job."""
     path, tag = scratch_path(spark, "messages"), uuid.uuid4().hex
-    written = bind.messages(spark, sf).select("value")
-    written.write.parquet(path)
+    bind.messages(spark, sf).select("value").write.text(path)
     table, refused = f"stream_{tag}", f"refused_{tag}"
     ingest.create_stream_tables(spark, table, refused)
-    source = spark.readStream.schema(written.schema).parquet(path)
     ingest.start_ingest(
-        source, table, refused, scratch_path(spark, "ingest"), stream=f"ingest_{tag}", available_now=True
+        read_messages(spark, path), table, refused, scratch_path(spark, "ingest"), stream=f"ingest_{tag}", available_now=True
     ).awaitTermination()
     return _conformed(spark.table(table))
 
 
+@query
+def stream_dedup(spark, sf):
+    """The valid records, then all of them again with another amount: the first of each id stays, also over a restart."""
+    path, tag = scratch_path(spark, "records"), uuid.uuid4().hex
+    table, checkpoint = f"unique_{tag}", scratch_path(spark, "dedup")
+    first = stored(_conformed(ingest.conform(_routed(spark, sf))), "records")
+    ingest.create_batch_table(spark, table, first.schema)
+    for records in (first, first.withColumn("TransactionAmt", F.col("TransactionAmt") + 1)):
+        records.write.mode("append").parquet(path)
+        start_dedup(
+            spark.readStream.schema(first.schema).parquet(path), table, checkpoint,
+            event_time=F.timestamp_seconds("TransactionDT"), delay="3650 days", stream=table, available_now=True,
+        ).awaitTermination()
+    return spark.table(table).drop(*ingest.BATCH_PARTITION)
+
+
+@query
+def stream_bounded(spark, sf):
+    """Half of the messages, taken from a stream in two runs, and how many different ones they are."""
+    path, tag = scratch_path(spark, "messages"), uuid.uuid4().hex
+    table, checkpoint = f"bounded_{tag}", scratch_path(spark, "bounded")
+    messages = stored(bind.messages(spark, sf).select("value"), "messages")
+    ingest.create_batch_table(spark, table, messages.schema)
+    n = messages.count() // 2
+    for part in messages.randomSplit([1.0, 1.0, 1.0, 1.0], seed=1):
+        part.repartition(2).write.mode("append").text(path)
+        take_messages(read_messages(spark, path, max_files_per_trigger=1), n, table, checkpoint, table)
+    taken = spark.table(table).join(messages.distinct(), "value", "left_semi")
+    return taken.agg(F.count("*").alias("taken"), F.count_distinct("value").alias("different"))
+
+
 @query
 def dead_letters(spark, sf):
     return ingest.dead_letters(_routed(spark, sf)).select(
