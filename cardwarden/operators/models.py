@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardwarden.functions.risk import label_probabilities, prob_of_label
 from cardwarden.operators.aggregates import class_weights
+from cardwarden.operators.encoding import fit_encoding, fitted_stages
 from cardwarden.operators.metrics import evaluation, top_k
 from cardwarden.operators.scoring import PREDICTED, PROBS
 from cardwarden.operators.splits import labelled_rows
@@ -41,8 +42,10 @@ class LogisticConfig:
     iterations: int = 20
     l2: float = 0.1
     balanced: bool = True
-    # Categories of every text column, which is hashed into them; at most max_bins.
+    # Categories of every text column; at most max_bins.
     max_categories: int = 200
+    # "hashed" texts with missing numbers as 0, or "frequent" values with their own category and means
+    encoding: str = "hashed"
 
 
 @dataclass(frozen=True)
@@ -57,9 +60,11 @@ class BoostedConfig:
     max_depth: int = 6
     learn_rate: float = 0.3
     max_bins: int = 256
-    # Categories of every text column, which is hashed into them; at most max_bins.
+    # Categories of every text column; at most max_bins.
     max_categories: int = 200
     seed: int = 42
+    # as in LogisticConfig
+    encoding: str = "hashed"
 
 
 def _quote(name: str) -> str:
@@ -95,6 +100,14 @@ def encoding_stages(features: list[str], width: int) -> tuple[list, list[str], l
     return stages, [f"num_{n}" for n in numbers], [f"cat_{t}" for t in texts]
 
 
+def _encoding(rows: DataFrame, config: LogisticConfig | BoostedConfig) -> tuple[list, list[str], list[str]]:
+    if config.encoding == "frequent":
+        return fitted_stages(fit_encoding(rows, config.features, config.max_categories))
+    if config.encoding != "hashed":
+        raise ValueError('encoding is "hashed" or "frequent"')
+    return encoding_stages(config.features, config.max_categories)
+
+
 def with_class_weight(rows: DataFrame, label: str = LABEL, balanced: bool = True) -> DataFrame:
     """Add n / (2 * n_c) per row, from one counting pass that returns a row per label."""
     if not balanced:
@@ -113,7 +126,7 @@ def train_logistic(train: DataFrame, config: LogisticConfig | None = None) -> Pi
     """L2 logistic regression on one-hot text and plain numbers."""
     config = config or LogisticConfig()
     rows = with_class_weight(labelled_rows(train), balanced=config.balanced)
-    stages, numbers, categories = encoding_stages(config.features, config.max_categories)
+    stages, numbers, categories = _encoding(rows, config)
     hot = [f"hot_{c}" for c in categories]
     if hot:
         stages.append(OneHotEncoder(inputCols=categories, outputCols=hot, handleInvalid="keep"))
@@ -142,7 +155,7 @@ def train_boosted(train: DataFrame, config: BoostedConfig | None = None) -> Pipe
     """
     config = config or BoostedConfig()
     rows = with_class_weight(labelled_rows(train), balanced=config.balanced)
-    stages, numbers, categories = encoding_stages(config.features, config.max_categories)
+    stages, numbers, categories = _encoding(rows, config)
     assembler = VectorAssembler(inputCols=numbers + categories, outputCol=VECTOR)
     encoder = Pipeline(stages=[*stages, assembler]).fit(rows)
     encoded = encoder.transform(rows).select(LABEL, WEIGHT, VECTOR)

@@ -14,6 +14,7 @@ from cardwarden.operators.aggregates import (
     rate_by_risk,
 )
 from cardwarden.operators.base_view import with_timestamp
+from cardwarden.operators.boosted_forest import ForestConfig, train_boosted_forest
 from cardwarden.operators.scoring import fraud_scores_checked
 from cardwarden.operators.splits import labelled_rows
 from cardwarden.sources.tables import materialize
@@ -27,12 +28,17 @@ def train_and_compare(
     test: DataFrame,
     model_folder: str,
     logistic: models.LogisticConfig | None = None,
-    boosted: models.BoostedConfig | None = None,
+    boosted: ForestConfig | models.BoostedConfig | None = None,
 ) -> dict[str, DataFrame]:
-    """Train both models, save them, and return comparison and importance."""
+    """Train both models, save them, and return comparison and importance.
+
+    Unless told otherwise, the boosted model fits a forest a round, and both give frequent texts their own
+    category and missing numbers the mean.
+    """
+    ensembles = isinstance(boosted, models.BoostedConfig)
     trained = {
-        LOGISTIC: models.train_logistic(train, logistic),
-        BOOSTED: models.train_boosted(train, boosted),
+        LOGISTIC: models.train_logistic(train, logistic or models.LogisticConfig(encoding="frequent")),
+        BOOSTED: models.train_boosted(train, boosted) if ensembles else train_boosted_forest(train, boosted),
     }
     models.save_model(trained[LOGISTIC], f"{model_folder}/model_logistic_regression")
     models.save_model(trained[BOOSTED], f"{model_folder}/model_xgboost")

@@ -7,6 +7,7 @@ from cardwarden.schemas import (
     FEATURE_TABLE_COLUMNS,
 
     LOGISTIC_FEATURES,
+    TEXT_FEATURES,
     VIEW_IDENTITY_COLUMNS,
     VIEW_TRANSACTION_COLUMNS,
 )
@@ -507,3 +508,29 @@ ORACLE |= {
         "SELECT 'is_late_night' AS feature, CAST(count(*) - 1 AS DOUBLE) AS importance FROM weighted",
     ),
 }
+
+_TRAIN = "FROM feat WHERE isFraud IS NOT NULL AND TransactionID % 10 < 8"
+# Two second-order steps of 0.3 from a margin of 0; pos and neg are the weighted labels of a leaf.
+CTES["forest2"] = """
+    SELECT f.*, m2.p, CAST(m2.p > 0.5 AS BIGINT) AS predicted FROM feat f JOIN (
+        SELECT v, 1 / (1 + exp(-(m + 0.3 * (pos * (1 - q) - neg * q) / ((pos + neg) * q * (1 - q))))) AS p FROM (
+            SELECT *, 1 / (1 + exp(-m)) AS q FROM (SELECT *, 0.3 * 2 * (pos - neg) / (pos + neg) AS m FROM weighted))
+    ) m2 ON f.is_late_night = m2.v WHERE f.isFraud IS NOT NULL"""
+NEEDS["forest2"] = ["weighted"]
+ORACLE |= {
+    "boosted_forest_two_rounds": _test_scores("forest2", 9),
+    "category_codes": _with(
+        "feat",
+        " UNION ALL ".join(
+            f"""SELECT * FROM (SELECT '{t}' AS feature, {t} AS value, count(*) AS n,
+                CAST(row_number() OVER (ORDER BY count(*) DESC, {t}) - 1 AS INTEGER) AS code {_TRAIN} AND {t} <> ''
+                GROUP BY {t} HAVING count(*) >= ceil(0.001 * (SELECT count(*) {_TRAIN}))) WHERE code < 198"""
+            for t in TEXT_FEATURES
+        ),
+    ),
+    "number_means": _with(
+        "feat",
+        "SELECT " + ", ".join(f"round(coalesce(avg({c}), 0.0), 6) AS {c}" for c in LOGISTIC_FEATURES if c not in TEXT_FEATURES)
+        + f" {_TRAIN}",
+    ),
+}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardwarden.functions.risk import prob_at, prob_of_label, risk_level
 from cardwarden.operators import aggregates as agg
-from cardwarden.operators import metrics, models, splits
+from cardwarden.operators import boosted_forest, encoding, metrics, models, splits
 from cardwarden.operators import ml_features as mlf
 from cardwarden.operators.base_view import base_view, with_timestamp
 from cardwarden.operators.history import (
@@ -18,7 +18,9 @@ from cardwarden.operators.history import (
 from cardwarden.operators.requests import parse_requests, request_features, score_requests
 from cardwarden.operators.scoring import PREDICTED, PROBS, fraud_scores, score_join
 from cardwarden.plans.feature_tables import build_feature_tables, feature_frame, unbiased_feature_frame
-from cardwarden.schemas import FEATURE_TABLE_COLUMNS, IDENTITY, KEY, LABEL, STREAM_TABLE, TRANSACTIONS
+from cardwarden.schemas import (
+    FEATURE_TABLE_COLUMNS, IDENTITY, KEY, LABEL, LOGISTIC_FEATURES, STREAM_TABLE, TEXT_FEATURES, TRANSACTIONS,
+)
 from cardwarden.session import scratch_path
 from cardwarden.sources.tables import load_raw, stored
 from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded, read_messages
@@ -527,3 +529,34 @@ def boosted_one_feature_scores(spark, sf):
 @query
 def boosted_one_feature_splits(spark, sf):
     return models.feature_importance(spark, _one_split(_stored_features(spark, sf)))
+
+
+# Models of a forest a round, and what they learn from the rows besides trees --------
+
+
+@query
+def category_codes(spark, sf):
+    """Codes of the frequent values of each text feature, by the training rows."""
+    rows = splits.labelled_rows(splits.train_split(_stored_features(spark, sf)))
+    return encoding.frequent_values(rows, TEXT_FEATURES, 198)
+
+
+@query
+def number_means(spark, sf):
+    """What stands for a missing number."""
+    rows = splits.labelled_rows(splits.train_split(_stored_features(spark, sf)))
+    numbers = [c for c in LOGISTIC_FEATURES if c not in TEXT_FEATURES]
+    return encoding.number_means(rows, numbers).select(*[F.round(c, 6).alias(c) for c in numbers])
+
+
+@query
+def boosted_forest_(spark, sf):
+    """The full model: 50 rounds of four trees."""
+    return _test_scores(boosted_forest.train_boosted_forest, _stored_features(spark, sf))
+
+
+@query
+def boosted_forest_two_rounds(spark, sf):
+    config = boosted_forest.ForestConfig(features=ONE, rounds=2, row_share=1.0, column_share=1.0, max_depth=1)
+    features = _stored_features(spark, sf)
+    return _rounded_scores(_test_scores(lambda t: boosted_forest.train_boosted_forest(t, config), features), DIGITS)

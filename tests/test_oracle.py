@@ -7,7 +7,7 @@ from checks.oracle import ORACLE
 from checks.queries import QUERIES
 from tests.conftest import SMALL
 
-WITHOUT_SQL = {"train_logistic", "train_boosted", "model_fraud_scores", "feature_importance"}
+WITHOUT_SQL = {"train_logistic", "train_boosted", "model_fraud_scores", "feature_importance", "boosted_forest"}
 
 
 @pytest.fixture(scope="module")
