@@ -31,6 +31,7 @@ from cardwarden.operators.scoring import PREDICTED, PROBS
 from cardwarden.operators.splits import labelled_rows
 from cardwarden.schemas import BOOSTED_FEATURES, LABEL, LOGISTIC_FEATURES, TEXT_FEATURES
 from cardwarden.session import scratch_path
+from cardwarden.sources.versions import model_folder, replace_model
 
 WEIGHT = "_class_weight"
 VECTOR = "_features"
@@ -249,15 +250,17 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Write a model as the newest version below ``path``; the one before stays in use until it is whole."""
+    replace_model(SparkSession.active(), path, lambda folder: model.write().save(folder))
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    return PipelineModel.load(model_folder(SparkSession.active(), path))
 
 
 def split_nodes(spark: SparkSession, model: PipelineModel, path: str) -> DataFrame:
     """Inner nodes of all trees of a saved boosted model: feature index and gain."""
+    path = model_folder(spark, path)
     digits = len(str(len(model.stages)))
     frames = [
         spark.read.parquet(f"{path}/stages/{i:0{digits}d}_{stage.uid}/data")

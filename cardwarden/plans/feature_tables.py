@@ -10,7 +10,8 @@ from cardwarden.operators.history import card_history, out_of_fold_rates
 from cardwarden.operators.ml_features import ml_features
 from cardwarden.operators.splits import test_split, train_split
 from cardwarden.schemas import KEY
-from cardwarden.sources.tables import materialize, register_views, stored
+from cardwarden.sources.tables import register_views, stored
+from cardwarden.sources.versions import replace_table
 
 VIEW = "v_transactions_with_identity"
 
@@ -54,7 +55,7 @@ def build_feature_tables(
     """Create the view and the derived tables, and return a scan of each.
 
     The aggregates are stored before they are joined, so the planner knows their
-    measured size and broadcasts only what is small. The split is a row filter;
+    measured size and broadcasts only what is small. Each table is replaced in one step. The split is a row filter;
     unless ``store_split`` asks for copies it becomes two views.
     """
 
@@ -63,9 +64,9 @@ def build_feature_tables(
 
     view = base_view(transactions, identity)
     register_views({VIEW: view})
-    cards = materialize(card_aggregates(transactions), name("card_aggregates"))
-    domains = materialize(email_domain_risk(transactions), name("email_domain_risk"))
-    features = materialize(
+    cards = replace_table(card_aggregates(transactions), name("card_aggregates"))
+    domains = replace_table(email_domain_risk(transactions), name("email_domain_risk"))
+    features = replace_table(
         ml_features(view, cards, domains),
         name("ml_features"),
         bucket_by=KEY if buckets else None,
@@ -73,7 +74,7 @@ def build_feature_tables(
     )
     split = {"train_data": train_split(features), "test_data": test_split(features)}
     if store_split:
-        split = {n: materialize(frame, name(n)) for n, frame in split.items()}
+        split = {n: replace_table(frame, name(n)) for n, frame in split.items()}
     else:
         register_views(split)
     return {

@@ -17,7 +17,7 @@ from cardwarden.operators.base_view import with_timestamp
 from cardwarden.operators.boosted_forest import ForestConfig, train_boosted_forest
 from cardwarden.operators.scoring import fraud_scores_checked
 from cardwarden.operators.splits import labelled_rows
-from cardwarden.sources.tables import materialize
+from cardwarden.sources.versions import replace_table
 
 LOGISTIC, BOOSTED = "Logistic Regression", "XGBoost"
 
@@ -57,7 +57,7 @@ def score_table(
 ) -> DataFrame:
     """Score every labelled row with a saved model and store the scores."""
     predictions = models.predict(models.load_model(model_path), labelled_rows(features))
-    return materialize(fraud_scores_checked(predictions, features), table)
+    return replace_table(fraud_scores_checked(predictions, features), table)
 
 
 def reports(transactions: DataFrame, scores: DataFrame) -> dict[str, DataFrame]:

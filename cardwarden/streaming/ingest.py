@@ -21,6 +21,7 @@ from cardwarden.functions import loose_values as loose
 from cardwarden.functions.barrier import once
 from cardwarden.functions.loose_values import Loose
 from cardwarden.schemas import DEAD_LETTER, KEY, STREAM_TABLE
+from cardwarden.streaming.ledger import append_once, takes_ledger
 
 REQUIRED_FIELDS = ["TransactionID", "TransactionAmt", "ProductCD"]
 # Numeric fields that are cast only when truthy; a falsy one never rejects a row.
@@ -204,17 +205,20 @@ def create_stream_tables(spark: SparkSession, table: str, dead_letter_table: str
 def write_batch(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
     """Replace the batch's own partition and nothing else.
 
-    A table that has no partitions by batch, only the columns of ``rows``, is appended to: there
-    a batch that runs again after a failure adds its rows again.
+    A plain table of files, with the columns of ``rows`` only, is appended to by a ledger, which adds a batch once however
+    often it runs. To a table that is neither, a batch that runs again adds its rows again.
     """
     catalog = rows.sparkSession.catalog
     if not catalog.tableExists(table):
         raise ValueError(f"table {table} does not exist; ingest does not create it")
-    if not {c.name for c in catalog.listColumns(table)}.issuperset(BATCH_PARTITION):
-        rows.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
-        return
     if not re.fullmatch(r"[\w.-]+", stream):
         raise ValueError("a stream name has letters, digits, dots, dashes and underscores only")
+    if not {c.name for c in catalog.listColumns(table)}.issuperset(BATCH_PARTITION):
+        if takes_ledger(rows.sparkSession, table):
+            append_once(rows, table, stream, batch_id)
+        else:
+            rows.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
+        return
     rows.sparkSession.sql(
         f"INSERT OVERWRITE TABLE {table} "
         f"PARTITION (ingest_stream = '{stream}', ingest_batch = {int(batch_id)}) "

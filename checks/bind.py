@@ -115,7 +115,11 @@ FIXED_SCORES = {
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The given table. One file of one row group is a single task, however many cores there are, so a table
+    of fewer files than cores is spread over them."""
+    frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return frame if len(frame.inputFiles()) >= cores else frame.repartition(cores)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

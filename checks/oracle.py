@@ -486,6 +486,10 @@ ORACLE |= {
     "feature_tables": ORACLE["train_split"],
     "stream_ingest": ORACLE["conform_schema"],
     "stream_dedup": ORACLE["conform_schema"],
+    "ingest_ledger": ORACLE["conform_schema"],
+    "ingest_compacted": ORACLE["conform_schema"],
+    "ingest_counters": _with("routed", "SELECT route, count(*) AS messages FROM routed GROUP BY route"),
+    "rebuilt_table": ORACLE["labelled_rows"],
     "stream_scores": ORACLE["score_requests"],
     "union_scores": _with(
         "feat",

@@ -23,9 +23,12 @@ from cardwarden.schemas import (
 )
 from cardwarden.session import scratch_path
 from cardwarden.sources.tables import load_raw, stored
+from cardwarden.sources.versions import replace_table
 from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded, read_messages
 from cardwarden.streaming import ingest
 from cardwarden.streaming.bounded import take_messages
+from cardwarden.streaming.compaction import compact, create_read_view
+from cardwarden.streaming.counters import CounterWriter, counter_totals, create_counter_table, wait_for_batch
 from cardwarden.streaming.dedup import start_dedup
 from cardwarden.streaming.preview import preview
 from cardwarden.streaming.scoring import create_score_table, start_scoring
@@ -183,6 +186,19 @@ def feature_tables(spark, sf):
     return rounded(built["train_data"])
 
 
+@query
+def rebuilt_table(spark, sf):
+    """The labelled training rows, from a table that is replaced by its own rows and survives a write that breaks."""
+    name = f"rebuilt_{uuid.uuid4().hex}"
+    replace_table(bind.transactions(spark, sf).select(KEY, LABEL, "TransactionAmt", "ProductCD"), name)
+    try:
+        replace_table(spark.table(name).withColumn(LABEL, F.raise_error(F.lit("broken"))), name)
+    except Exception as error:
+        if "broken" not in str(error):
+            raise
+    return replace_table(splits.labelled_rows(spark.table(name)), name)
+
+
 # Reports --------------------------------------------------------------------
 
 
@@ -378,6 +394,61 @@ def stream_ingest(spark, sf):
     return _conformed(spark.table(table))
 
 
+def _ingest_parts(spark, sf, table, refused, checkpoint):
+    """The messages as four files, ingested in two runs of two batches; yields the query after each run."""
+    path = scratch_path(spark, "messages")
+    for part in stored(bind.messages(spark, sf).select("value"), "messages").randomSplit([1.0] * 4, seed=1):
+        part.coalesce(1).write.mode("append").text(path)
+        query = ingest.start_ingest(
+            read_messages(spark, path, max_files_per_trigger=1), table, refused, checkpoint, available_now=True
+        )
+        query.awaitTermination()
+        yield query
+
+
+@query
+def ingest_ledger(spark, sf):
+    """The valid records appended to a table of the declared columns only; every batch is written twice."""
+    table = f"plain_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in STREAM_TABLE)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
+    routed = stored(_routed(spark, sf), "routed")
+    for batch, part in enumerate((routed.where("route = 'valid' AND record.TransactionID % 2 = 0"), routed.where("record.TransactionID % 2 <> 0"))):
+        for _ in range(2):
+            ingest.write_valid(part, table, "messages", batch)
+    return _conformed(spark.table(table))
+
+
+@query
+def ingest_compacted(spark, sf):
+    """The valid records as readers see them after batches were compacted twice."""
+    tag, checkpoint = uuid.uuid4().hex, scratch_path(spark, "ingest")
+    table, refused, view = f"stream_{tag}", f"refused_{tag}", f"all_{tag}"
+    ingest.create_stream_tables(spark, table, refused)
+    create_read_view(spark, view, table)
+    for run, _ in enumerate(_ingest_parts(spark, sf, table, refused, checkpoint)):
+        if run % 2 == 0:
+            compact(spark, table, view, checkpoint)
+    return _conformed(spark.table(view))
+
+
+@query
+def ingest_counters(spark, sf):
+    """Messages per route, from the rows that a listener has written for each batch over several runs."""
+    tag, checkpoint = uuid.uuid4().hex, scratch_path(spark, "ingest")
+    table, refused, counters = f"stream_{tag}", f"refused_{tag}", f"counters_{tag}"
+    ingest.create_stream_tables(spark, table, refused)
+    create_counter_table(spark, counters)
+    listener = CounterWriter(spark, counters)
+    spark.streams.addListener(listener)
+    try:
+        for query_ in _ingest_parts(spark, sf, table, refused, checkpoint):
+            wait_for_batch(spark, counters, str(query_.id), query_.lastProgress.batchId)
+    finally:
+        spark.streams.removeListener(listener)
+    return counter_totals(spark, counters)
+
+
 @query
 def stream_dedup(spark, sf):
     """The valid records, then all of them again with another amount: the first of each id stays, also over a restart."""
