@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.llm import bpe
+
 #: Ids of a row.
 ROW_IDS = 8_192
 #: Ids that a task packs together.
@@ -157,6 +159,17 @@ def packed_rows(tokens: DataFrame, row_ids: int = ROW_IDS, group_ids: int = GROU
     return tokens.select("doc_id", "ids").mapInArrow(lambda b: _pack(b, row_ids, group_ids, pad), _PACKED)
 
 
+def packed_texts(docs: DataFrame, rank_file: str, pattern: str, row_ids: int = ROW_IDS, group_ids: int = GROUP_IDS) -> DataFrame:
+    """packed_rows() of the byte-level BPE ids of each text and an end id, which is also the last one before the padding.
+
+    Texts are encoded and packed by one worker per task, a part of a batch at a time, so a task holds the ids of one group
+    and the texts of one batch. Nulls and empty texts give the end id only.
+    """
+    rows, name = bpe._sent(docs, rank_file)
+    pad = bpe.end_id(rank_file) + 1
+    return rows.mapInArrow(lambda b: _pack(bpe._ids(b, name, pattern), row_ids, group_ids, pad), _PACKED)
+
+
 def write_packed(packed: DataFrame, path: str) -> None:
     """Write packed rows as Parquet; ids and positions are the rows of two matrices."""
     packed.write.parquet(path)

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import bpe, decontaminate, exact_dedup, html_text, manifest, mixing, ngram_join, ngram_lm, packing, passages, token_counts, toxicity, whitening
+from cardwarden.llm import bpe, decontaminate, exact_dedup, html_text, manifest, mixing, ngram_join, ngram_lm, packing
+from cardwarden.llm import passages, token_counts, toxicity, whitening
+from cardwarden.llm.common import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,9 +58,11 @@ def op9_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The id and position matrices, written once; the result has their digests."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    tokens = bpe.token_ids(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return packing.packed_digests(packing.packed_rows(tokens, pad=bpe.end_id(ranks) + 1))
+    packed = stored(packing.packed_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), "packed")
+    digests = {f"{c}_sha256": F.sha2(c, 256) for c in ("ids", "positions")}
+    return packed.withColumns(digests).drop("ids", "positions")
 
 
 def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
