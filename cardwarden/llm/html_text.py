@@ -2,8 +2,10 @@
 
 Every block element of a page is hashed with all below it. Spark counts, per host, in how many different pages a
 subtree recurs; subtrees that many pages of the host share are its template and are deleted, with what they hold.
-Elements whose tag, role or class says that they are no main text go as well, and where a page marks its
-article, only what is inside it counts. Paragraphs and the like inside a marked article are never
+A paragraph, heading or list item recurs only together with what stands before and after it, as those of a template do: a heading
+that many texts have stays. Elements whose tag or role says that they are no main text go as well, and those whose class or id
+says so if they hold neither a marked article nor most of the page. Where a page marks its article (article or main), only
+what is inside the mark counts. Paragraphs and the like inside a marked article are never
 template, however often a site repeats them: different articles may share a passage.
 """
 
@@ -31,7 +33,7 @@ _BLOCKS = frozenset(
     " tfoot thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe object svg canvas math title textarea xmp noembed noframes".split())
+_RAW = frozenset("script style noscript template iframe object svg canvas title textarea xmp noembed noframes".split())
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre tr figcaption caption summary address".split())
 _NO_TEXT = frozenset("head nav aside footer form button select datalist dialog menu label fieldset".split()) | _RAW
 _NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
@@ -40,11 +42,18 @@ _NO_TEXT_CLASSES = frozenset(
     " sponsored promo cookie cookies consent notice popup modal overlay newsletter subscribe signup login comment comments disqus reply"
     " replies share sharing social related recommended pagination pager widget toolbar skip".split()
 )
+#: Words that may stand beside one of those in a name, as in "site-header"; "has-sidebar" and "related-work" say something else
+_BESIDE = frozenset(
+    "a the site page global main top bottom left right primary secondary sub js wrap wrapper container inner outer box block list items item"
+    " links link area bar section panel content form button buttons icon icons text body posts post articles stories thread count title heading"
+    " mobile desktop sticky fixed slot unit row col column group region zone module component".split()
+)
 #: Start tags that end an open element of the same group
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}, "thead": {"thead", "tbody", "tfoot"}, "tbody": {"thead", "tbody", "tfoot"}, "tfoot": {"thead", "tbody", "tfoot"}}
 _SCOPE = frozenset("html body article section div table ul ol dl main aside nav form blockquote td th".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*+)>|<[!?/][^>]*>?", re.S)
+# A quote opens a value after "=" only; elsewhere it is a character like others. A tag that isn't closed ends with the page
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>=]*+(?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>])?[^>=]*+)*+)(?:>|\Z)|<[!?/][^>]*>?", re.S)
 _ATTRIBUTE = re.compile(r"""([a-z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden)\b""", re.I)
 
 
@@ -54,29 +63,37 @@ class Page:
 
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: ["#page"])
-    silent: list[bool] = field(default_factory=lambda: [False])  # by tag, role or class
+    silent: list[bool] = field(default_factory=lambda: [False])  # by tag or role
+    named: list[bool] = field(default_factory=lambda: [False])  # by class or id
     hash: list[int] = field(default_factory=lambda: [0])
     blocks: list[tuple[int, str]] = field(default_factory=list)  # element, text
 
 
-def _says_no_text(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in _NO_TEXT:
-        return True
-    if tag == "header" and not inside_article:
-        return True
+def _names_no_text(names: str, inside_article: bool) -> bool:
+    """Whether one of these classes or ids is a name of something that is no main text."""
+    for name in names.split():
+        words = set(re.findall(r"[a-z]+", name))
+        said = words & _NO_TEXT_CLASSES
+        if said and words <= _NO_TEXT_CLASSES | _BESIDE and not (inside_article and said == {"header"}):
+            return True
+    return False
+
+
+def _says_no_text(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is no main text by its tag or role, and whether it is none by its class or id."""
+    if tag in _NO_TEXT or tag == "header" and not inside_article:
+        return True, False
     if not attributes or tag in ("html", "body", "article", "main") and "comment" not in attributes:
-        return False
+        return False, False
+    named = False
     for name, value, hidden in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if hidden or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-            return True
+            return True, False
         if name == "role" and value in _NO_TEXT_ROLES:
-            return True
-        if name in ("class", "id"):
-            words = set(re.split(r"[^a-z]+", value))
-            if words & _NO_TEXT_CLASSES and not (inside_article and words & _NO_TEXT_CLASSES == {"header"}):
-                return True
-    return False
+            return True, False
+        named |= name in ("class", "id") and _names_no_text(value, inside_article)
+    return False, named
 
 
 def parse(source: str) -> Page:
@@ -159,7 +176,9 @@ def parse(source: str) -> Page:
             number = len(page.tag)
             page.parent.append(stack[-1][1])
             page.tag.append(tag)
-            page.silent.append(silent_inline > 0 or _says_no_text(tag, match[3], articles > 0))
+            silent, named = _says_no_text(tag, match[3], articles > 0)
+            page.silent.append(silent_inline > 0 or silent)
+            page.named.append(named)
             page.hash.append(0)
             content.append([f"{tag} "])
             if tag in _VOID:
@@ -184,31 +203,64 @@ def parse(source: str) -> Page:
     flush()
     while len(stack) > 1:
         pop()
+    _resolve_names(page)
     return page
 
 
-def _roots(page: Page) -> tuple[list[bool], bool]:
-    """Whether each element is inside a marked article that isn't silent, and whether there is one."""
-    for mark in ("article", "main"):
-        inside, silent, found = [False], [False], False
-        for e in range(1, len(page.tag)):
-            up = page.parent[e]
-            silent.append(silent[up] or page.silent[e])
-            root = page.tag[e] == mark and not silent[e]
-            found |= root
-            inside.append(inside[up] or root)
-        if found:
-            return inside, True
-    return [True] * len(page.tag), False
-
-
-def candidates(page: Page) -> Iterator[int]:
-    """Elements that may be a template: all blocks but the page's frame and, in a marked article, its prose."""
-    inside, marked = _roots(page)
-    for e in range(1, len(page.tag)):
-        if page.tag[e] in ("html", "body", "article", "main", "hr") or (marked and inside[e] and page.tag[e] in _PROSE):
+def _resolve_names(page: Page) -> None:
+    """Silence the elements that a class or id names, but for those around a marked article or most of the text."""
+    if not any(page.named):
+        return
+    n = len(page.tag)
+    hidden, size, marked = [False] * n, [0] * n, [False] * n
+    for e in range(1, n):
+        hidden[e] = hidden[page.parent[e]] or page.silent[e]
+        marked[e] = page.tag[e] in ("article", "main") and not hidden[e] and not page.named[e]
+    for e, text in page.blocks:
+        size[e] += 0 if hidden[e] else len(text)
+    for e in range(n - 1, 0, -1):  # children come after their parents
+        size[page.parent[e]] += size[e]
+        marked[page.parent[e]] |= marked[e]
+    for e in range(1, n):
+        page.silent[e] |= page.named[e] and not marked[e] and (2 * size[e] <= size[0] or page.tag[e] in ("article", "main"))
+
+
+def _roots(page: Page) -> tuple[list[bool], list[bool]]:
+    """Whether each element is inside a marked article that isn't silent, or there is none; and inside of the closest kind of mark."""
+    n = len(page.tag)
+    in_article, in_main, silent = [False] * n, [False] * n, [False] * n
+    for e in range(1, n):
+        up = page.parent[e]
+        quiet = silent[e] = silent[up] or page.silent[e]
+        in_article[e] = in_article[up] or (not quiet and page.tag[e] == "article")
+        in_main[e] = in_main[up] or (not quiet and page.tag[e] == "main")
+    if any(in_main):
+        either = [a or m for a, m in zip(in_article, in_main, strict=True)]
+        return either, in_article if any(in_article) else in_main
+    return (in_article if any(in_article) else [True] * n), in_article
+
+
+def candidates(page: Page) -> Iterator[tuple[int, int]]:
+    """(element, hash) of what may be a template: all blocks but the page's frame and the prose of a marked article.
+
+    The hash of a prose element is taken together with those of both its neighbours.
+    """
+    _, article = _roots(page)
+    n = len(page.tag)
+    before, after, last = [0] * n, [0] * n, [0] * n  # element 0, the page, stands for none
+    for e in range(1, n):
+        up = page.parent[e]
+        before[e], after[last[up]], last[up] = last[up], e, e
+    after[0] = 0
+    for e in range(1, n):
+        tag = page.tag[e]
+        if tag in ("html", "body", "article", "main", "hr") or (article[e] and tag in _PROSE):
             continue
-        yield e
+        key = page.hash[e]
+        if tag in _PROSE and (before[e] or after[e]):
+            key = xxhash.xxh3_64_intdigest(repr((page.hash[before[e]], key, page.hash[after[e]])).encode())
+            key -= (key >> 63) << 64
+        yield e, key
 
 
 def main_text(source: str | None, templates: frozenset[int] | set[int] = frozenset()) -> str:
@@ -216,11 +268,11 @@ def main_text(source: str | None, templates: frozenset[int] | set[int] = frozens
     if not source:
         return ""
     page = parse(source)
-    inside, marked = _roots(page)
+    inside, _ = _roots(page)
     gone = [False] * len(page.tag)
-    may = set(candidates(page)) if templates else set()
+    template = {e for e, key in candidates(page) if key in templates} if templates else set()
     for e in range(1, len(page.tag)):
-        gone[e] = gone[page.parent[e]] or page.silent[e] or (e in may and page.hash[e] in templates)
+        gone[e] = gone[page.parent[e]] or page.silent[e] or e in template
     return "\n\n".join(text for e, text in page.blocks if inside[e] and not gone[e])
 
 
@@ -233,7 +285,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             page = parse(source)
             said = xxhash.xxh3_64_intdigest(repr([t for e, t in page.blocks if not page.silent[e]]).encode("utf-8", "surrogatepass")) >> 1
-            found = {page.hash[e] for e in candidates(page)}
+            found = {key for _, key in candidates(page)}
             hosts += [host] * len(found)
             hashes += found
             pages += [said] * len(found)
@@ -263,7 +315,7 @@ def _page_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for row, host, source in zip(batch["row"].to_pylist(), batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
             if source:
                 page = parse(source)
-                found = {page.hash[e] for e in candidates(page)}
+                found = {key for _, key in candidates(page)}
                 rows += [row] * len(found)
                 hosts += [host] * len(found)
                 hashes += found

@@ -210,3 +210,36 @@ def test_toxicity_bears_odd_rows(spark, documents):
     assert toxicity.with_scores(documents([]).withColumn("score", F.lit("x")), model, "_t").columns == [*documents([]).columns, "score", "_t"]
     empty = toxicity.train(frame.limit(0))
     assert empty.score("scum") < 0.5 and empty.score(None) < 0.5
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        # a name on the frame of the page silences nothing
+        ('<body><div id="page" class="site has-sidebar"><p>One.</p><p>Two.</p></div></body>', ["One.", "Two."]),
+        ('<div class="sidebar"><p>All the text of this page is in here.</p></div><p>Short</p>', ["All the text of this page is in here.", "Short"]),
+        ('<div class="overlay"><article><p>Text</p></article></div>', ["Text"]),
+        # a name that only contains such a word is another name
+        ('<article><p>One.</p><section id="related-work"><p>Two.</p></section></article>', ["One.", "Two."]),
+        ('<article><p>One and some more.</p><div class="related-posts"><p>Two.</p></div></article>', ["One and some more."]),
+        ('<p>One and some more.</p><div class="site-header"><p>Two.</p></div><div id="cookie_notice">Three.</div>', ["One and some more."]),
+        # headline and lead outside of the article, inside of main
+        ("<main><h1>Headline</h1><p>Lead</p><article><p>Text</p></article></main><p>Other</p>", ["Headline", "Lead", "Text"]),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p>", ["Let x=1 be."]),
+        # a quote that no equals sign goes before
+        ('<p>See <a href=x">here</a> and <a href="a>b">there</a>, <b "c">bold</b></p>', ["See here and there, bold"]),
+        ("<p title='it\"s'>One</p><p data-x = 'a > b'>Two</p><p a=>Three</p>", ["One", "Two", "Three"]),
+        ('<div class="comments"><article class="comment"><p>Reader</p></article></div><article><p>Text that is the main one</p></article>', ["Text that is the main one"]),
+    ],
+)
+def test_main_text_by_contract(page, want):
+    assert html_text.main_text(page) == "\n\n".join(want)
+
+
+def test_headings_that_many_texts_have_stay(spark):
+    """Without a marked article: what recurs alone stays, what recurs with its neighbours goes."""
+    page = "<body><div><p>Our site</p><p>Sign up</p></div><h2>Introduction</h2><p>{a} is new.</p><p>Shared passage.</p><p>{b} ends.</p><ul><li>Terms</li><li>Privacy</li></ul></body>"
+    rows = [(i, "http://x.org/a", page.format(a=f"Text {i}", b=f"Part {i}")) for i in range(8)]
+    got = html_text.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in got:
+        assert r.text.split("\n\n") == ["Introduction", f"Text {r.page_id} is new.", "Shared passage.", f"Part {r.page_id} ends."]
