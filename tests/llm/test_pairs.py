@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from itertools import combinations
 
@@ -150,6 +151,54 @@ def test_masks_find_any_two_substitutions_in_13_tokens():
         assert any(all(s + j not in gone for j, c in enumerate(m) if c == "1") for m in decontaminate.MASKS for s in range(14 - len(m)))
 
 
+def test_copies_with_many_differences_are_whole(spark, documents, prose):
+    """Runs of twelve copied words with five others between: the text that goes on is no less contaminated."""
+    item = prose(200, 60).split()
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+
+    def copy(runs):
+        out = []
+        for k in range(runs):
+            out += item[17 * k : 17 * k + 12] + ([f"x{k}{j}" for j in range(5)] if k + 1 < runs else [])
+        return " ".join(out)
+
+    rows = [(n, prose(30, n) + " " + copy(n) + " " + prose(30, 90 + n)) for n in (3, 4, 5, 6)]
+    got = {r.doc_id: r.n_equal for r in decontaminate.contamination(documents(rows), bench).collect()}
+    assert got == {3: 36, 4: 48, 5: 60, 6: 60}  # six runs are 72 of 97 words, less than three quarters
+
+
+@pytest.mark.parametrize("words,changed", [(16, 4), (16, 3), (24, 6), (40, 10)])
+def test_recall_of_copies_at_the_limit(spark, documents, words, changed):
+    """Of items with words substituted at random, those that brute force finds."""
+    r = random.Random(words + changed)
+    items = [[f"w{i}x{j}" for j in range(words)] for i in range(300)]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    rows = []
+    for i, item in enumerate(items):
+        gone = set(r.sample(range(words), changed))
+        rows.append((i, " ".join([f"a{i}", *[f"n{i}y{j}" if j in gone else w for j, w in enumerate(item)], f"b{i}"])))
+
+    def stretch(i):  # the most equal words of any stretch with three quarters of them
+        same = [a == b for a, b in zip(rows[i][1].split()[1:-1], items[i])]
+        sums = [sum(same[a:b]) for a in range(words) for b in range(a + 1, words + 1) if 4 * sum(same[a:b]) >= 3 * (b - a)]
+        return max(sums, default=0)
+
+    due = {i for i in range(len(items)) if stretch(i) >= decontaminate.LEAST_TOKENS}
+    found = {x.doc_id for x in decontaminate.contamination(documents(rows), bench).where("contaminated").collect()}
+    assert found <= due and len(found) >= 0.95 * len(due) > 0
+
+
+def test_longest_stretch_equals_brute_force():
+    r = random.Random(5)
+    for _ in range(300):
+        same = np.array([r.random() < 0.7 for _ in range(r.randrange(1, 40))])
+        start, stop = decontaminate.longest_stretch(same)
+        best = max((int(same[a:b].sum()) for a in range(len(same)) for b in range(a + 1, len(same) + 1) if 4 * same[a:b].sum() >= 3 * (b - a)), default=0)
+        assert same[start:stop].sum() == best
+        if best:
+            assert same[start] and same[stop - 1] and 4 * best >= 3 * (stop - start)
+
+
 def test_shared_passages(documents, prose):
     passage = prose(80, 7).split()
     changed = list(passage)
