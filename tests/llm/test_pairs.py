@@ -311,3 +311,31 @@ def test_rows_keep_their_numbers_when_the_input_is_split_in_another_way(spark, d
         finally:
             spark.conf.set(conf, before)
         assert first == {r[name]: r.doc_id for r in again} and len(first) == 40
+
+
+def test_copies_of_a_passage_are_listed_on_either_side():
+    rng = np.random.default_rng(6)
+    new = lambda n: rng.integers(1, 1 << 32, n).astype(np.uint64)
+    p = new(60)
+    once, twice = np.concatenate([new(50), p, new(50)]), np.concatenate([new(30), p, new(90), p, new(20)])
+    assert passages.shared_passages(once, twice) == [(50, 60, 30, 60, 60), (50, 60, 180, 60, 60)]
+    assert passages.shared_passages(twice, once) == [(30, 60, 50, 60, 60), (180, 60, 50, 60, 60)]
+
+
+def test_two_repetitive_texts_are_aligned_a_few_times(monkeypatch):
+    """Lines repeated out of step, with a fifth of their words changed: no chain for each repeat."""
+    rng = np.random.default_rng(8)
+    line = rng.integers(1, 1 << 32, 93).astype(np.uint64)
+    other = line.copy()
+    other[rng.permutation(93)[:21]] += np.uint64(1)
+    a, b = np.concatenate([line[10:], np.tile(line, 80)]), np.concatenate([other[41:], np.tile(other, 77)])
+    aligned = []
+    whole = passages.align
+    monkeypatch.setattr(passages, "align", lambda chain, *sides: aligned.append(chain) or whole(chain, *sides))
+    found = passages.shared_passages(a, b)
+    assert len(aligned) < 20
+    covered = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    for i, n, j, m, e in found:
+        covered[0][i : i + n] = covered[1][j : j + m] = True
+        assert min(n, m) >= passages.LEAST_WORDS and 5 * e >= 4 * max(n, m)
+    assert covered[0].mean() > 0.8 and covered[1].mean() > 0.8
