@@ -35,7 +35,10 @@ BEGINNINGS = (4, 5, 6)
 #: Weight of the counterfactual penalty and of the squared weights.
 COUNTERFACTUAL, SQUARES = 1.0, 0.3
 
-#: Terms for groups of people. A term is swapped with the next of its row.
+#: Terms that a table of groups may have.
+GROUP_TERMS = 10_000
+
+#: Terms for groups of people, where no table of them is given. A term is swapped with the next of its row.
 IDENTITY = [
     ["women", "men"],
     ["woman", "man"],
@@ -61,11 +64,27 @@ _SWAP = {term: row[(i + 1) % len(row)] for row in IDENTITY for i, term in enumer
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def features_of(text: str | None, swap: bool = False) -> set[str]:
-    """Words of the whole text, lower-cased, and their beginnings (marked by a hyphen)."""
+def swaps(groups: DataFrame) -> dict[str, str]:
+    """What each term of a table (group, term) is swapped with: the next of its group, by code point, and the last with the first.
+
+    Terms are single words and lower-cased. Null terms and groups are left out, repeated rows count once, a term of several
+    groups belongs to the least of them, and a term alone in its group isn't swapped. More than GROUP_TERMS are an error.
+    """
+    known = groups.select(F.col("group").cast("string").alias("group"), F.lower(F.col("term").cast("string")).alias("term")).dropna()
+    rows = known.groupBy("term").agg(F.min("group").alias("group")).limit(GROUP_TERMS + 1).collect()
+    if len(rows) > GROUP_TERMS:
+        raise ValueError(f"more than {GROUP_TERMS} terms for groups")
+    by_group: dict[str, list[str]] = {}
+    for row in sorted(rows):
+        by_group.setdefault(row["group"], []).append(row["term"])
+    return {t: terms[(i + 1) % len(terms)] for terms in by_group.values() if len(terms) > 1 for i, t in enumerate(terms)}
+
+
+def features_of(text: str | None, swap: dict[str, str] | None = None) -> set[str]:
+    """Words of the whole text, lower-cased and swapped, and their beginnings (marked by a hyphen)."""
     words = set(_WORD.findall(text.lower())) if text else set()
     if swap:
-        words = {_SWAP.get(w, w) for w in words}
+        words = {swap.get(w, w) for w in words}
     out = set(words)
     for n in BEGINNINGS:
         out.update([w[:n] + "-" for w in words if len(w) > n])
@@ -74,10 +93,14 @@ def features_of(text: str | None, swap: bool = False) -> set[str]:
 
 @dataclass
 class Model:
-    """Weights by feature; the score of a text is the logistic of bias plus those of its features."""
+    """Weights by feature; the score of a text is the logistic of bias plus those of its features.
+
+    swapped: the training rows with a term for a group. Without any, the counterfactual penalty has had no part in the weights.
+    """
 
     weights: dict[str, float]
     bias: float
+    swapped: int = 0
 
     def score(self, text: str | None) -> float:
         found = self.weights.keys() & features_of(text)
@@ -100,12 +123,12 @@ def _emit_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def _emit_vectors(batches: Iterator[pa.RecordBatch], index: dict[str, int]) -> Iterator[pa.RecordBatch]:
+def _emit_vectors(batches: Iterator[pa.RecordBatch], index: dict[str, int], swap: dict[str, str]) -> Iterator[pa.RecordBatch]:
     """Feature numbers of each text, and of the text with its group terms swapped."""
     for batch in batches:
         texts = batch["text"].to_pylist()
         plain = [sorted(index[f] for f in features_of(t) & index.keys()) for t in texts]
-        swapped = [sorted(index[f] for f in features_of(t, swap=True) & index.keys()) for t in texts]
+        swapped = [sorted(index[f] for f in features_of(t, swap) & index.keys()) for t in texts]
         yield pa.RecordBatch.from_arrays(
             [batch["toxic"].cast(pa.int32()), pa.array(plain, pa.list_(pa.int32())), pa.array(swapped, pa.list_(pa.int32()))],
             ["toxic", "plain", "swapped"],
@@ -157,11 +180,13 @@ def fit(plain: list[list[int]], swapped: list[list[int]], toxic: np.ndarray, n:
     return w, bias
 
 
-def train(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL, rows: int = TRAIN_ROWS) -> Model:
+def train(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL, rows: int = TRAIN_ROWS, groups: DataFrame | None = None) -> Model:
     """A model from rows (doc_id, text, toxic), of which at most `rows` are read, by a hash of their ids.
 
-    Rows without a label are left out; a null text is empty. Without labelled rows every score is 0.001.
+    Rows without a label are left out; a null text is empty. Without labelled rows every score is 0.001. groups: a table
+    (group, term) in place of IDENTITY, see swaps().
     """
+    swap = _SWAP if groups is None else swaps(groups)
     known = labelled.where("toxic is not null").select("doc_id", "text", (F.col("toxic") > 0).cast("int").alias("toxic"))
     sample = stored(known, "labelled")
     taken = sample.count()
@@ -175,10 +200,12 @@ def train(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL, rows: int
     share = F.lit(toxic / max(total, 1))
     apart = F.abs(F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
     best = counted.orderBy(apart.desc(), "feature").limit(FEATURES).select("feature").toArrow()["feature"].to_pylist()
-    index = {f: i for i, f in enumerate(sorted(set(best) | set(_SWAP)))}
-    vectors = sample.select("text", "toxic").mapInArrow(lambda b: _emit_vectors(b, index), "toxic int, plain array<int>, swapped array<int>").toArrow()
-    weights, bias = fit(vectors["plain"].to_pylist(), vectors["swapped"].to_pylist(), vectors["toxic"].to_numpy(), len(index), counterfactual)
-    return Model({f: float(weights[i]) for f, i in index.items() if weights[i]}, float(bias))
+    index = {f: i for i, f in enumerate(sorted(set(best) | set(swap)))}
+    vectors = sample.select("text", "toxic").mapInArrow(lambda b: _emit_vectors(b, index, swap), "toxic int, plain array<int>, swapped array<int>").toArrow()
+    plain, swapped = vectors["plain"].to_pylist(), vectors["swapped"].to_pylist()
+    weights, bias = fit(plain, swapped, vectors["toxic"].to_numpy(), len(index), counterfactual)
+    changed = sum(x != y for x, y in zip(plain, swapped, strict=True))
+    return Model({f: float(weights[i]) for f, i in index.items() if weights[i]}, float(bias), changed)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:

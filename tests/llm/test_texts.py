@@ -243,3 +243,47 @@ def test_headings_that_many_texts_have_stay(spark):
     got = html_text.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     for r in got:
         assert r.text.split("\n\n") == ["Introduction", f"Text {r.page_id} is new.", "Shared passage.", f"Part {r.page_id} ends."]
+
+
+def test_groups_of_a_table_are_swapped_and_their_neutral_mentions_stay_low(spark, prose):
+    """An insulted group of invented words: without the penalty its neutral mentions, held out, are false positives."""
+    r = random.Random(5)
+    say = lambda group, tail, k: f"{prose(6, k)} {group} {tail} {prose(6, 900 + k)}"
+    rows = []
+    for k in range(240):
+        insult = r.random() < 0.5
+        group = r.choice(["vorlans"] * (9 if insult else 1) + ["quemites", "drelfolk"])
+        rows.append((k, say(group, r.choice(["are filthy scum", "should rot"]) if insult else r.choice(["met friends", "sang songs"]), k), int(insult)))
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    terms = [("g", "Vorlans"), ("g", "quemites"), ("g", "drelfolk"), ("g", "drelfolk"), ("h", "vorlans"), ("h", None), (None, "scum"), ("alone", "songs")]
+    groups = spark.createDataFrame(terms, "group string, term string")
+    assert toxicity.swaps(groups) == {"drelfolk": "quemites", "quemites": "vorlans", "vorlans": "drelfolk"}
+    plain, fair = toxicity.train(labelled, 0.0, groups=groups), toxicity.train(labelled, 20.0, groups=groups)
+    assert fair.swapped == 240
+    assert toxicity.train(labelled).swapped == 0  # none of the built-in terms
+    apart = lambda m: max(abs(m.score(say("vorlans", t, k)) - m.score(say("drelfolk", t, k))) for k in range(500, 520) for t in ("waited", "sang songs"))
+    assert apart(fair) < apart(plain) / 4
+    neutral = [say("vorlans", "bought bread", k) for k in range(600, 660)]
+    false = [sum(m.score(t) >= 0.5 for t in neutral) for m in (plain, fair)]
+    assert false[1] < false[0] and all(fair.score(say("vorlans", "are filthy scum", k)) >= 0.5 for k in range(700, 720))
+    assert toxicity.swaps(groups.limit(0)) == {}
+    with pytest.raises(ValueError, match="more than"):
+        toxicity.swaps(spark.range(toxicity.GROUP_TERMS + 1).selectExpr("1 AS group", "concat('t', id) AS term"))
+
+
+def test_extra_columns_with_names_of_the_operators(documents, prose):
+    """Columns of the operators' own names are ignored: the same rows as without them."""
+    rows = [(k, prose(30 + 9 * k, k)) for k in range(6)] + edges(prose(40, 9))
+    ranks, pieces = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
+    runs = {
+        "bpe": lambda d: bpe.bpe_round_trip(d, ranks, public_tokenizers.PATTERN),
+        "counts": lambda d: token_counts.token_counts(d, pieces),
+        "lm": ngram_lm.lm_scores,
+    }
+    names = ("row", "ids", "tokens", "n_tokens", "n_words", "n_known", "word", "before", "lane", "shard", "count", "score", "held_out", "block", "key", "hash", "n")
+    for name, run in runs.items():
+        plain, extra = documents(rows), documents(rows)
+        for c in names:
+            extra = extra.withColumn(c, F.lit("mine"))
+        rounded = lambda frame: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in frame.collect()), key=repr)
+        assert rounded(run(extra)) == rounded(run(plain)), name
