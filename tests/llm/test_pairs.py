@@ -339,3 +339,17 @@ def test_two_repetitive_texts_are_aligned_a_few_times(monkeypatch):
         covered[0][i : i + n] = covered[1][j : j + m] = True
         assert min(n, m) >= passages.LEAST_WORDS and 5 * e >= 4 * max(n, m)
     assert covered[0].mean() > 0.8 and covered[1].mean() > 0.8
+
+
+def test_contamination_ignores_extra_columns_of_documents(spark, documents, prose):
+    item = prose(30, 1)
+    rows = [(1, prose(20, 2) + " " + item), (2, prose(60, 3)), (None, item), (4, None), (5, "")]
+    benchmark = spark.createDataFrame([(7, item), (8, None)], "item_id long, text string")
+    extra = documents(rows)
+    for c in ("row", "item_id", "items", "contaminated", "n_equal", "seed", "mask", "words", "tokens", "at"):
+        extra = extra.withColumn(c, F.lit("mine"))
+    plain, other = (decontaminate.contamination(d, benchmark) for d in (documents(rows), extra))
+    columns = ["doc_id", "contaminated", "items", "n_equal"]
+    found = sorted(plain.select(columns).collect(), key=repr)
+    assert sorted(other.select(columns).collect(), key=repr) == found
+    assert {r.doc_id for r in found if r.contaminated} == {1, None}
