@@ -54,6 +54,8 @@ CELLS = 1 << 20
 SMOOTHING = 1.0
 #: Weight of the bigram's probability beside the counts of a context of two words, about.
 THIRD = 2.0
+#: A range of more children is first narrowed by the high bits.
+NARROW = 8
 #: Texts of so many characters are one block of the shuffle.
 BLOCK_CHARS = 8_000_000
 
@@ -124,18 +126,19 @@ class EliasFano:
         low[over] |= self.low[word[over] + 1] << (np.uint64(64) - bit[over])
         return high | (low & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """For each x the first index whose value is at least x; n if there is none."""
-        if not self.n:
-            return np.zeros(len(x), np.int64)
-        high = x >> self.low_bits
-        zeros = len(self.high) * 64 - int(self.rank[-1])
-        inside = high < zeros
-        h = np.minimum(high, zeros - 1)
-        # values with a smaller high part come before the zero that closes it
-        low = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) - np.maximum(h - 1, 0), 0)
-        end = np.where(inside, self._select(h, False) - h, self.n)
-        low = np.where(inside, low, self.n)
+    def successor(self, x: np.ndarray, low: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """For each x the first index from low on whose value is at least x; end if there is none before."""
+        low, end = low.copy(), end.copy()
+        wide = np.flatnonzero(end - low > NARROW)
+        if len(wide):  # values with a smaller high part come before the zero that closes it
+            high = x[wide] >> self.low_bits
+            zeros = len(self.high) * 64 - int(self.rank[-1])
+            h = np.minimum(high, zeros - 1)
+            from_ = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) - np.maximum(h - 1, 0), 0)
+            to = np.where(high < zeros, self._select(h, False) - h, self.n)
+            from_ = np.where(high < zeros, from_, self.n)
+            low[wide] = np.clip(from_, low[wide], end[wide])
+            end[wide] = np.clip(to, low[wide], end[wide])
         while True:
             open_ = np.flatnonzero(low < end)
             if not len(open_):
@@ -171,8 +174,8 @@ class Level:
         node = parent[asked]
         start, end = self.pointers.access(node), self.pointers.access(node + 1)
         x = node * self.WIDTH + ids[asked].astype(np.int64)
-        at = self.ids.successor(x)
-        inside = np.flatnonzero((at >= start) & (at < end))
+        at = self.ids.successor(x, start, end)
+        inside = np.flatnonzero(at < end)
         inside = inside[self.ids.access(at[inside]) == x[inside]]
         out[asked[inside]] = at[inside]
         return out
@@ -380,7 +383,8 @@ def _deal(batches: Iterator[pa.RecordBatch], hot: tuple[Hot, Hot, Hot], classes,
                 at, which = frequent.find(key)
                 lane = mix(part[at]) % frequent.parts[which]
                 shard[at] = mix(key[at] + lane * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shards)
-            order = np.lexsort((doc, third, entry, tokens, shard))
+            del before, pairs, triples, by
+            order = np.lexsort((third, entry, tokens, shard))  # keeps the order of texts
             shard, tokens, entry, third, doc = shard[order], tokens[order], entry[order], third[order], doc[order]
             held = batch["held_out"].to_numpy(zero_copy_only=False).astype(np.uint8)
             edges = [*np.flatnonzero(_starts(shard)).tolist(), len(shard)]
@@ -427,20 +431,32 @@ def _unpacked(r) -> tuple[np.ndarray, ...]:
 
 
 def _trained(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """Triples of a shard that training has: word, entry, word two before, sorted, and count."""
-    found = []
+    """What training has of a shard, sorted: words; the word and the entry of each pair; the pair, the word two before and the count of each triple."""
+    words, of_words, entries, of_pairs, thirds, counts = ([] for _ in range(6))
     for r in pdf.itertuples():
-        words, sizes, entries, subs, third, posts = _unpacked(r)
+        own, sizes, entry, subs, third, posts = _unpacked(r)
         held, docs = np.frombuffer(r.held, np.uint8), np.frombuffer(r.docs, np.uint16)
-        n = np.add.reduceat(1 - held[docs].astype(np.int64), np.cumsum(posts) - posts)
-        kept = n > 0
-        found.append((np.repeat(np.repeat(words, sizes), subs)[kept], np.repeat(entries, subs)[kept], third[kept], n[kept]))
-    w, e, u, n = (np.concatenate(x) for x in zip(*found, strict=True))
-    del found
-    order = np.lexsort((u, e, w))
-    w, e, u, n = w[order], e[order], u[order], n[order]
-    new = np.flatnonzero(_starts(w, e, u)) if len(w) else order
-    return w[new], e[new], u[new], np.add.reduceat(n, new) if len(new) else n
+        n = np.add.reduceat(1 - held[docs].astype(np.int32), np.cumsum(posts) - posts)
+        triple = n > 0
+        pair = np.logical_or.reduceat(triple, np.cumsum(subs, dtype=np.int64) - subs)
+        word = np.logical_or.reduceat(pair, np.cumsum(sizes, dtype=np.int64) - sizes)
+        words.append(own[word])
+        of_words.append((np.cumsum(word) - 1)[np.repeat(np.arange(len(own)), sizes)[pair]])
+        entries.append(entry[pair])
+        of_pairs.append((np.cumsum(pair) - 1)[np.repeat(np.arange(len(entry)), subs)[triple]])
+        thirds.append(third[triple])
+        counts.append(n[triple])
+    level = np.unique(np.concatenate(words))
+    pairs = [np.searchsorted(level, w)[at].astype(np.uint64) << np.uint64(40) | e for w, at, e in zip(words, of_words, entries, strict=True)]
+    del words, of_words, entries
+    second = np.unique(np.concatenate(pairs))
+    keys = np.concatenate([np.searchsorted(second, p)[at].astype(np.uint64) << np.uint64(32) | u for p, at, u in zip(pairs, of_pairs, thirds, strict=True)])
+    del pairs, of_pairs, thirds
+    order = np.argsort(keys)
+    keys, n = keys[order], np.concatenate(counts)[order]
+    new = np.flatnonzero(_starts(keys)) if len(keys) else order
+    keys, n = keys[new], np.add.reduceat(n, new, dtype=np.int64) if len(new) else n.astype(np.int64)
+    return level, (second >> np.uint64(40)).astype(np.int64), second & np.uint64((1 << 40) - 1), (keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32), n
 
 
 def _score_shard(pdf: pd.DataFrame, total: int, distinct: int, hot: tuple[Hot, Hot, Hot], classes) -> pd.DataFrame:
@@ -460,25 +476,20 @@ def _score_shard(pdf: pd.DataFrame, total: int, distinct: int, hot: tuple[Hot, H
         plain = count + _mu(cells)
         return np.where(words == END, plain, n + _k(cells) * plain)
 
-    def starts(*columns: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(_starts(*columns)) if len(columns[0]) else np.zeros(0, np.int64)
-
-    summed = lambda n, at: np.add.reduceat(n, at) if len(at) else n
+    summed = lambda n, of, k: np.bincount(of, n, k).astype(np.int64)  # noqa: E731  whole numbers below 2**53
     end_entry = _entries(np.array([END]), classes.value)[0]
-    w, e, u, n = _trained(pdf)
-    pair, word = starts(w, e), starts(w)
-    words = w[word]
-    count = hot[0].whole(words, summed(n, word))
-    word_of = np.searchsorted(words, w[pair])  # the node above each pair
-    pair_of = np.repeat(np.arange(len(pair)), np.diff(np.append(pair, len(w))))  # and each triple
-    keys = _pair_key(w[pair], e[pair])
-    n2 = hot[1].whole(keys, summed(n, pair))
-    n3 = hot[2].whole(_triple_key(keys[pair_of], u), n)
-    above = numerator(n2, e[pair], ((count + ADD) / norm)[word_of])
-    below = denominator(n2, w[pair], count[word_of])
-    whole = np.where(u == 0, 0, n3) + above[pair_of]  # after an end the pair's is all
-    trie = Trie(words, (word_of, e[pair], [np.log10(above), np.log10(below)]), (pair_of, u, [np.log10(whole)]))
-    del w, e, u, n, keys, n2, n3, above, below, whole, word_of, pair_of
+    words, word_of, entries, pair_of, third, n = _trained(pdf)
+    n2 = summed(n, pair_of, len(entries))
+    count = hot[0].whole(words, summed(n2, word_of, len(words)))
+    keys = _pair_key(words[word_of], entries)
+    n2 = hot[1].whole(keys, n2)
+    if len(hot[2].keys):
+        n = hot[2].whole(_triple_key(keys[pair_of], third), n)
+    above = numerator(n2, entries, ((count + ADD) / norm)[word_of])
+    below = denominator(n2, words[word_of], count[word_of])
+    whole = np.where(third == 0, 0, n) + above[pair_of]  # after an end the pair's is all
+    trie = Trie(words, (word_of, entries, [np.log10(above), np.log10(below)]), (pair_of, third, [np.log10(whole)]))
+    del words, word_of, entries, pair_of, third, n, n2, keys, above, below, whole
     out = []
     for r in pdf.itertuples():
         words, sizes, entries, subs, third, posts = _unpacked(r)

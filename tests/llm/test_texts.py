@@ -73,7 +73,10 @@ def test_elias_fano(top):
         coded = ngram_lm.EliasFano(values, lambda a: a)
         assert (coded.access(np.arange(n)) == values).all()
         x = np.concatenate([r.integers(0, top + 5, 500), values, values + 1])
-        assert (coded.successor(x) == np.searchsorted(values, x)).all()
+        low = r.integers(0, n + 1, len(x))
+        end = np.where(r.random(len(x)) < 0.5, n, np.minimum(low + r.integers(0, 20, len(x)), n))
+        assert (coded.successor(x, low, end) == np.clip(np.searchsorted(values, x), low, end)).all()
+        assert (coded.successor(x, 0 * low, 0 * low + n) == np.searchsorted(values, x)).all()
 
 
 @pytest.mark.parametrize("shard", [200, 20_000])
