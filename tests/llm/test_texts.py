@@ -41,26 +41,45 @@ def test_bpe_equals_the_library_and_decodes(documents):
     assert bpe.bpe_round_trip(documents([]), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
-def test_token_counts_equal_a_plain_dynamic_program(documents, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_token_counts_equal_a_plain_dynamic_program(documents, monkeypatch, rounds):
+    """Scores of so many rounds of estimation, and the counts by them."""
     monkeypatch.setattr(token_counts, "TOGETHER", 50)
     path = public_tokenizers.path("piece_bpe_32k.model")
-    scores = token_counts.zipf_scores(token_counts.read_pieces(path))
-    worst = min(scores.values())
 
-    def pieces(word):
-        best = [(0, 0)]  # score, minus pieces
+    def pieces(word, scores, worst):
+        """Pieces of the best cut, None for a byte: largest score, then fewest pieces, then the shortest last piece."""
+        best = [(0, 0)]
+        last = [0]
         for d in range(1, len(word) + 1):
-            ways = [(best[k][0] + scores[word[k:d]], best[k][1] - 1) for k in range(d) if word[k:d] in scores]
+            ways = [(best[k][0] + scores[word[k:d]], best[k][1] - 1, k) for k in range(d) if word[k:d] in scores]
             if word[d - 1] not in scores:
                 n = len(word[d - 1].encode())
-                ways.append((best[d - 1][0] + n * worst, best[d - 1][1] - n))
-            best.append(max(ways))
-        return -best[-1][1]
+                ways.append((best[d - 1][0] + n * worst, best[d - 1][1] - n, d - 1))
+            *value, k = max(ways)
+            best.append(tuple(value))
+            last.append(k)
+        used, d = [], len(word)
+        while d:
+            used.append(word[last[d] : d])
+            d = last[d]
+        return -best[-1][1], used
 
     r = random.Random(4)
     rows = edges("Some words, and others.")[:-1] + [(100 + k, odd_text(r, 60)) for k in range(40)] + [(300, "x" * 200 + "漢" * 60)]
-    got = token_counts.token_counts(documents(rows), path).collect()
-    want = [(i, len((t or "").split()), sum(pieces(token_counts.MARK + w) for w in (t or "").split())) for i, t in rows]
+    scores = token_counts.zipf_scores(token_counts.read_pieces(path))
+    for _ in range(rounds):
+        worst, used = min(scores.values()), dict.fromkeys(scores, 0)
+        for _, t in rows:
+            for w in (t or "").split():
+                for piece in pieces(token_counts.MARK + w, scores, worst)[1]:
+                    if piece in used:
+                        used[piece] += 1
+        scores = token_counts.estimated_scores(used)
+    assert token_counts.train_scores(documents(rows), path, rounds) == scores
+    got = token_counts.token_counts(documents(rows), path, None if rounds == token_counts.ROUNDS else scores).collect()
+    worst = min(scores.values())
+    want = [(i, len((t or "").split()), sum(pieces(token_counts.MARK + w, scores, worst)[0] for w in (t or "").split())) for i, t in rows]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert token_counts.token_counts(documents([]), path).count() == 0
 
