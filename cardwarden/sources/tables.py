@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from cardwarden import schemas
 from cardwarden.session import scratch_path
+from cardwarden.sources.files import Files
+
+#: Bytes of source files for each bucket. One task holds and sorts the rows of a bucket, which take four to eight
+#: times the bytes of their CSV lines.
+BUCKET_BYTES = 64 << 20
 
 
 def _reader(spark: SparkSession, schema: T.StructType, fmt: str) -> DataFrameReader:
@@ -36,12 +43,18 @@ def load_raw(
     """Load historical files into a table.
 
     Load both raw tables with the same number of ``buckets`` and their join on
-    the transaction id needs no shuffle.
+    the transaction id needs no shuffle; ``bucket_count`` gives one for both.
     """
     rows = _reader(spark, schema, fmt).load(source)
     materialize(rows, table, bucket_by=schemas.KEY if buckets else None, buckets=buckets)
 
 
+def bucket_count(spark: SparkSession, *sources: str, least: int = 1, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for tables that are loaded from these files and joined: enough for the largest, ``least`` or more."""
+    largest = max(Files(spark).size(source) for source in sources)
+    return max(least, math.ceil(largest / bucket_bytes))
+
+
 def register_views(frames: dict[str, DataFrame]) -> None:
     """Create or replace one lazy view per name."""
     for name, frame in frames.items():

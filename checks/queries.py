@@ -22,7 +22,8 @@ from cardwarden.schemas import (
     FEATURE_TABLE_COLUMNS, IDENTITY, KEY, LABEL, LOGISTIC_FEATURES, STREAM_TABLE, TEXT_FEATURES, TRANSACTIONS,
 )
 from cardwarden.session import scratch_path
-from cardwarden.sources.tables import load_raw, stored
+from cardwarden.sources.files import Files
+from cardwarden.sources.tables import bucket_count, load_raw, stored
 from cardwarden.sources.versions import replace_table
 from cardwarden.sources.messages import encode_messages, filter_attr, read_bounded, read_messages
 from cardwarden.streaming import ingest
@@ -166,11 +167,14 @@ def unbiased_features(spark, sf):
 @query
 def load_raw_join(spark, sf):
     """Both raw tables as CSV files, loaded into bucketed tables and joined."""
-    tables = []
-    for rows, schema in ((bind.transactions(spark, sf), TRANSACTIONS), (bind.identity(spark, sf), IDENTITY)):
-        path, table = scratch_path(spark, "raw"), f"raw_{uuid.uuid4().hex}"
-        rows.write.csv(path, header=True)
-        load_raw(spark, path, table, schema, buckets=8)
+    sources, tables = [], []
+    for rows in (bind.transactions(spark, sf), bind.identity(spark, sf)):
+        sources.append(scratch_path(spark, "raw"))
+        rows.write.csv(sources[-1], header=True)
+    buckets = bucket_count(spark, *sources, least=8)
+    for path, schema in zip(sources, (TRANSACTIONS, IDENTITY), strict=True):
+        table = f"raw_{uuid.uuid4().hex}"
+        load_raw(spark, path, table, schema, buckets=buckets)
         tables.append(spark.table(table))
     return base_view(*tables)
 

@@ -50,6 +50,15 @@ def test_csv_with_another_header_stops(spark, tmp_path):
         tables.read_identity(spark, str(tmp_path), "csv").collect()
 
 
+def test_buckets_follow_the_size_of_the_files(spark, tmp_path):
+    for name, rows in (("few", 10), ("many", 1000)):
+        spark.range(rows).select(F.lpad(F.col("id").cast("string"), 9, "0")).coalesce(1).write.text(str(tmp_path / name))
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")  # 10 bytes a row
+    assert tables.bucket_count(spark, few, bucket_bytes=1000) == 1
+    assert tables.bucket_count(spark, few, many, bucket_bytes=1000) in (10, 11)  # the largest, check sums included or not
+    assert tables.bucket_count(spark, few, least=8) == 8
+
+
 def test_bucketed_raw_tables_join_without_a_shuffle(spark, csv_folders):
     tables.load_raw(spark, csv_folders["tx"], "raw_transactions", schemas.TRANSACTIONS, buckets=4)
     tables.load_raw(spark, csv_folders["id"], "raw_identity", schemas.IDENTITY, buckets=4)
