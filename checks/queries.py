@@ -399,13 +399,18 @@ def stream_ingest(spark, sf):
 
 
 def _ingest_parts(spark, sf, table, refused, checkpoint):
-    """The messages as four files, ingested in two runs of two batches; yields the query after each run."""
+    """The messages in four parts, each ingested as a batch in a run of its own; yields the query after each run."""
     path = scratch_path(spark, "messages")
-    for part in stored(bind.messages(spark, sf).select("value"), "messages").randomSplit([1.0] * 4, seed=1):
-        part.coalesce(1).write.mode("append").text(path)
+    messages = stored(bind.messages(spark, sf).select("value", (F.rand(1) * 4).cast("int").alias("part")), "messages")
+    had = 0
+    for part in range(4):
+        messages.where(F.col("part") == part).select("value").write.mode("append").text(path)
+        # as many files as tasks wrote, all of them in one batch
+        have = sum(name.startswith("part-") for name in Files(spark).names(path))
         query = ingest.start_ingest(
-            read_messages(spark, path, max_files_per_trigger=1), table, refused, checkpoint, available_now=True
+            read_messages(spark, path, max_files_per_trigger=have - had), table, refused, checkpoint, available_now=True
         )
+        had = have
         query.awaitTermination()
         yield query
 

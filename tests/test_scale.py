@@ -34,3 +34,18 @@ def test_the_loaded_raw_tables_have_buckets_by_size(spark, given, monkeypatch):
     assert len(loaded) == 2 and loaded[0] == loaded[1] > 8
     assert joined.select("TransactionID").exceptAll(bind.transactions(spark, given).select("TransactionID")).isEmpty()
     assert joined.count() == 900
+
+
+def test_parts_of_the_messages_are_written_by_several_tasks(spark, given, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_path", lambda _, purpose: str(tmp_path / purpose))
+    table, refused = "parts_stream", "parts_refused"
+    for name in (table, refused):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    queries.ingest.create_stream_tables(spark, table, refused)
+    runs = [q.lastProgress.batchId for q in queries._ingest_parts(spark, given, table, refused, str(tmp_path / "checkpoint"))]
+    assert runs == [0, 1, 2, 3]
+    files = [f.name for f in (tmp_path / "messages").iterdir() if f.name.startswith("part-")]
+    assert len(files) > 4
+    assert spark.table(table).count() + spark.table(refused).count() == 900
+    batches = spark.table(table).unionByName(spark.table(refused), allowMissingColumns=True).groupBy("ingest_batch").count().collect()
+    assert len(batches) == 4 and min(r["count"] for r in batches) > 0
