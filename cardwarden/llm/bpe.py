@@ -5,6 +5,9 @@ form a padded matrix with one row each, first of single bytes. In every round, e
 leftmost pair of minimum rank: ranks are looked up for all pairs at once in an open hash table, and the
 columns after the merged pair move up by one. A row without a known pair is done and leaves the matrix.
 Matches that a task has encoded lately are kept in a table of bounded size.
+
+Texts are split by numpy as well if the pattern is SPLIT: the kinds of neighbouring characters tell where matches begin.
+Matches are told apart by a hash of their characters, and then compared character by character with the one kept.
 """
 
 from __future__ import annotations
@@ -26,10 +29,18 @@ BUCKETS = (2, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 KEPT = 300_000
 #: Matches that are handled at once, however long a text is.
 BLOCK = 200_000
+#: The pattern that Splitter knows, and the most characters that it splits at once.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PART = 1_000_000
 
 _NONE = np.int64(1 << 40)
 
 
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places start, start + 1 and so on, size of each."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 class Vocabulary:
     """Ranks of a byte-level vocabulary, as a hash table of pairs and a table of bytes by id."""
 
@@ -89,18 +100,17 @@ class Vocabulary:
             open_ = open_[~hit & (seen != -1)]
         return flat_out.reshape(keys.shape)
 
-    def _merge_matrix(self, ids: np.ndarray) -> list[np.ndarray]:
-        """ids: one match per row, padded with -1. The merged ids of each row."""
-        done: list[np.ndarray | None] = [None] * len(ids)
+    def _merge_matrix(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids: one match per row, padded with -1. The merged ids of all rows one after the other, and how many each row has."""
+        done = np.full(ids.shape, -1, np.int64)
         rows = np.arange(len(ids))
         ranks = self.pair_ranks(ids[:, :-1], ids[:, 1:])
         while len(rows):
             at = ranks.argmin(1)
             best = ranks[np.arange(len(rows)), at]
             over = best == _NONE
-            for i in np.flatnonzero(over):
-                done[rows[i]] = ids[i][ids[i] >= 0]
             if over.any():
+                done[rows[over], : ids.shape[1]] = ids[over]
                 live = ~over
                 rows, ids, ranks, at, best = rows[live], ids[live], ranks[live], at[live], best[live]
                 if not len(rows):
@@ -120,11 +130,11 @@ class Vocabulary:
                 fresh = self.pair_ranks(merged[line, after], merged[line, after + 1])
                 ranks[line, after] = np.where(at <= width - 3, fresh, ranks[line, after])
             else:
-                for i, row in zip(rows, merged, strict=True):
-                    done[i] = row
+                done[rows, :1] = merged
                 break
             ids = merged
-        return done  # type: ignore[return-value]
+        held = done >= 0
+        return done[held], held.sum(1)
 
     def _merge_long(self, ids: np.ndarray) -> np.ndarray:
         """One long match: in a round, all pairs of minimum rank merge, from left to right without overlap.
@@ -145,13 +155,13 @@ class Vocabulary:
             ids = np.delete(ids, found + 1)
         return ids
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The ids of each piece, a match of the pattern as bytes."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, matches of the pattern as bytes, one after the other, and how many each piece has."""
         size = np.array([len(p) for p in pieces], np.int64)
         whole = np.frombuffer(b"".join(pieces), np.uint8)
         start = np.cumsum(size) - size
         low = 0
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for width in BUCKETS:
             rows = np.flatnonzero((size > low) & (size <= width))
             for at in range(0, len(rows), 50_000):
@@ -159,13 +169,19 @@ class Vocabulary:
                 grid = np.arange(width)
                 inside = grid < size[part][:, None]
                 source = np.where(inside, start[part][:, None] + grid, 0)
-                ids = np.where(inside, self.single[whole[source]], -1)
-                for i, row in zip(part, self._merge_matrix(ids), strict=True):
-                    out[i] = row
+                found.append((part, *self._merge_matrix(np.where(inside, self.single[whole[source]], -1))))
             low = width
         for i in np.flatnonzero(size > BUCKETS[-1]):
-            out[i] = self._merge_long(self.single[whole[start[i] : start[i] + size[i]]])
-        return out  # type: ignore[return-value]
+            ids = self._merge_long(self.single[whole[start[i] : start[i] + size[i]]])
+            found.append((np.array([i]), ids, np.array([len(ids)])))
+        count = np.zeros(len(pieces), np.int64)
+        for part, _, n in found:
+            count[part] = n
+        out = np.zeros(int(count.sum()), np.int64)
+        start = np.cumsum(count) - count
+        for part, ids, n in found:
+            out[_spread(start[part], n)] = ids
+        return out, count
 
     def decode(self, ids: np.ndarray) -> bytes:
         size = self.start[ids + 1] - self.start[ids]
@@ -173,34 +189,136 @@ class Vocabulary:
         return self.bytes[np.arange(int(size.sum())) + shift].tobytes()
 
 
+_LETTER, _DIGIT, _OTHER, _SPACE, _EDGE = range(5)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """The kind of each code point, as the regex module sees it."""
+    every = "".join(map(chr, range(0x110000)))
+    kinds = np.full(len(every), _OTHER, np.uint8)
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_DIGIT, r"\p{N}+"), (_SPACE, r"\s+")):
+        for match in regex.finditer(pattern, every):
+            kinds[match.start() : match.end()] = kind
+    return kinds
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, both modulo 2^64."""
+    base = 0x9E3779B97F4A7C15
+    out = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        powers = np.full(PART + 2, factor, np.uint64)
+        powers[0] = 1
+        out.append(np.multiply.accumulate(powers))
+    return out[0], out[1]
+
+
+class Block:
+    """Texts of up to PART characters in all, split into the matches of SPLIT.
+
+    starts and sizes are the places and lengths of the matches in points, the code points of all texts with one more before, between
+    and after them; counts is the number of matches of each text.
+    """
+
+    def __init__(self, texts: list[str]):
+        self.text = "\n".join(["", *texts, ""])
+        self.points = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        edges = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        kinds = _kinds()[self.points]
+        kinds[edges] = _EDGE
+        begins = self._begins(kinds)
+        begins[edges] = False
+        self.starts = np.flatnonzero(begins)
+        begins[edges] = True
+        ends = np.flatnonzero(begins)
+        self.sizes = ends[np.searchsorted(ends, self.starts) + 1] - self.starts
+        self.counts = np.diff(np.searchsorted(self.starts, edges))
+
+    def _begins(self, kinds: np.ndarray) -> np.ndarray:
+        """Whether a match begins at a place. A space before other characters is the first of their match."""
+        points, space, edge = self.points, kinds == _SPACE, kinds == _EDGE
+        blank = space & (points == 32)
+        begins = np.ones(len(kinds), bool)
+        begins[1:] = (kinds[1:] != kinds[:-1]) & ~(blank[:-1] & ~edge[1:])
+        # the last of a run of white space is left to what follows, if anything does
+        begins[:-1] |= space[:-1] & ~space[1:] & ~edge[1:]
+        marks = np.flatnonzero((points == 39) & (kinds == _OTHER) & begins)
+        marks = marks[marks + 2 < len(points)]
+        one, two = points[marks + 1], points[marks + 2]
+        inside = kinds[marks + 1] != _EDGE
+        short = inside & np.isin(one, [ord(c) for c in "stmd"])
+        long = inside & (kinds[marks + 2] != _EDGE) & (((two == ord("e")) & ((one == ord("r")) | (one == ord("v")))) | ((one == ord("l")) & (two == ord("l"))))
+        for found, size in ((short, 1), (long, 2)):
+            begins[marks[found] + 1] = False
+            begins[marks[found] + 1 + size] = True
+        return begins
+
+    def hashes(self) -> np.ndarray:
+        """64 bits of each match."""
+        powers, inverse = _powers()
+        sums = np.zeros(len(self.points) + 1, np.uint64)
+        np.cumsum((self.points + np.uint64(1)) * powers[: len(self.points)], out=sums[1:])
+        return (sums[self.starts + self.sizes] - sums[self.starts]) * inverse[self.starts]
+
+    def words(self, which: np.ndarray) -> list[str]:
+        return [self.text[a : a + n] for a, n in zip(self.starts[which].tolist(), self.sizes[which].tolist(), strict=True)]
+
+
+def _parts(text: str) -> list[str] | None:
+    """A text in parts of up to PART characters that can be split by themselves: each but the first begins with a blank
+    between other characters. None if there is no such place."""
+    out, at, kinds = [], 0, _kinds()
+    while len(text) - at > PART:
+        cut = text.rfind(" ", at + 1, at + PART)
+        while cut > at and _SPACE in (kinds[ord(text[cut - 1])], kinds[ord(text[cut + 1])]):
+            cut = text.rfind(" ", at + 1, cut)
+        if cut <= at:
+            return None
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
 class Encoder:
     """Encodes whole texts; keeps what it has encoded lately."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
+        self.splits = pattern == SPLIT
         self._reset()
 
     def _reset(self) -> None:
         self.number: dict[str, int] = {}
+        # of matches of blocks: hashes in order, their numbers, and the code points of each match
+        self.hashes = np.zeros(0, np.uint64)
+        self.numbers = np.zeros(0, np.int64)
+        self.points = np.zeros(0, np.uint32)
+        self.point_start = np.zeros(0, np.int64)
+        self.point_size = np.zeros(0, np.int64)
+        self.rows = np.zeros(0, np.int64)
+        self.learnt = 0
         self.ids = np.zeros(1 << 16, np.int64)
         self.used = 0
         self.start = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        encoded = self.vocabulary.encode_pieces([w.encode("utf-8", "surrogatepass") for w in words])
-        n, size = len(self.number), np.array([len(e) for e in encoded], np.int64)
+    def _learn(self, words: list[str]) -> int:
+        """Encode words; their numbers follow the one returned."""
+        encoded, size = self.vocabulary.encode_pieces([w.encode("utf-8", "surrogatepass") for w in words])
+        n = self.learnt
         while n + len(words) > len(self.start):
             self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
         end = self.used + int(size.sum())
         while end > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.ids[self.used : end] = np.concatenate(encoded)
+        self.ids[self.used : end] = encoded
         self.size[n : n + len(words)] = size
         self.start[n : n + len(words)] = self.used + np.cumsum(size) - size
         self.used = end
-        for i, w in enumerate(words, n):
-            self.number[w] = i
+        self.learnt += len(words)
+        return n
 
     def _matches(self, text: str) -> Iterator[list[str]]:
         if len(text) <= BLOCK:
@@ -215,25 +333,74 @@ class Encoder:
         yield part
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text. New matches of all texts are merged together."""
-        split = [list(self._matches(t)) for t in texts]
-        return self._numbered(split)
+        """The ids of each text. New matches of a part of the texts are merged together."""
+        if not self.splits:
+            return self._numbered(texts)
+        out: list[np.ndarray] = []
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if held and size + len(text) > PART:
+                out += self._block(held)
+                held, size = [], 0
+            if len(text) + 1 > PART:
+                parts = _parts(text)
+                out.append(self._numbered([text])[0] if parts is None else np.concatenate([self._block([p])[0] for p in parts]))
+            else:
+                held.append(text)
+                size += len(text) + 1
+        return out + (self._block(held) if held else [])
 
-    def _numbered(self, split: list[list[list[str]]]) -> list[np.ndarray]:
-        if len(self.number) > KEPT:
+    def _block(self, texts: list[str]) -> list[np.ndarray]:
+        if self.learnt > KEPT:
             self._reset()
+        block = Block(texts)
+        keys, first, key = np.unique(block.hashes(), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, keys)
+        inside = at < len(self.hashes)
+        new = ~inside
+        new[inside] = self.hashes[at[inside]] != keys[inside]
+        if new.any():
+            self._keep(block, keys[new], first[new], at[new])
+            at = np.searchsorted(self.hashes, keys)
+        place = self.numbers[at][key]
+        same = block.sizes == self.point_size[place]
+        if not (same.all() and (block.points[_spread(block.starts, block.sizes)] == self.points[_spread(self.point_start[place], block.sizes)]).all()):
+            return self._numbered(texts)  # two matches with the same hash
+        rows = self.rows[place]
+        size = self.size[rows]
+        ids = self.ids[_spread(self.start[rows], size)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(block.counts)]
+        return np.split(ids, ends[:-1])
+
+    def _keep(self, block: Block, keys: np.ndarray, which: np.ndarray, at: np.ndarray) -> None:
+        """Learn matches of a block, the hashes of which come before the places at of those kept."""
+        n = len(self.numbers)
+        row = self._learn(block.words(which))
+        starts, sizes = block.starts[which], block.sizes[which]
+        self.hashes = np.insert(self.hashes, at, keys)
+        self.numbers = np.insert(self.numbers, at, np.arange(n, n + len(keys)))
+        self.rows = np.concatenate([self.rows, np.arange(row, row + len(keys))])
+        self.point_start = np.concatenate([self.point_start, len(self.points) + np.cumsum(sizes) - sizes])
+        self.point_size = np.concatenate([self.point_size, sizes])
+        self.points = np.concatenate([self.points, block.points[_spread(starts, sizes)]])
+
+    def _numbered(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, split by the pattern itself."""
+        if self.learnt > KEPT:
+            self._reset()
+        split = [list(self._matches(t)) for t in texts]
         known = self.number
         new = {w: None for parts in split for words in parts for w in words if w not in known}
         if new:
-            self._learn(list(new))
+            for i, w in enumerate(new, self._learn(list(new))):
+                known[w] = i
         out = []
         for parts in split:
             pieces = []
             for words in parts:
                 rows = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                size = self.size[rows]
-                shift = np.repeat(self.start[rows] - (np.cumsum(size) - size), size)
-                pieces.append(self.ids[np.arange(int(size.sum())) + shift])
+                pieces.append(self.ids[_spread(self.start[rows], self.size[rows])])
             out.append(np.concatenate(pieces) if pieces else np.zeros(0, np.int64))
         return out
 

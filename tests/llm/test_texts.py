@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -26,6 +27,37 @@ def odd_text(r, n):
     return "".join(r.choice(["a", "B", "é", " ", "  ", "\n", "'s", "12", "漢", "😀", "!!", "the ", "tion", "́", "\xa0", "aaaa"]) for _ in range(n))
 
 
+def test_numpy_splits_texts_as_the_pattern_does(monkeypatch):
+    assert bpe.SPLIT == public_tokenizers.PATTERN
+    r, pattern = random.Random(7), regex.compile(bpe.SPLIT)
+    letters = list(" '  \n\t\r\x1c\x85\u2028\u3000stmdrevlSTabé1２½,.!-_\u0301中𝔸😀\x00")
+    batches = [["".join(r.choices(letters, k=r.randrange(14))) for _ in range(r.randrange(1, 12))] for _ in range(300)]
+    for texts in batches:
+        block = bpe.Block(texts)
+        words = iter(block.words(np.arange(len(block.starts))))
+        assert [[next(words) for _ in range(n)] for n in block.counts] == [pattern.findall(t) for t in texts]
+
+    model = bpe.encoder.__wrapped__
+    bpe._powers()  # kept for the PART of use
+    monkeypatch.setattr(bpe.SparkFiles, "get", lambda name: name)
+    # texts longer than a part, with and without places to cut; few matches kept; all hashes alike
+    texts = ["".join(r.choices(letters, k=400)), "the tion 's" * 40, "a" * 300, " " * 300, "", "x " * 9]
+    plain = model(RANKS, bpe.SPLIT)
+    plain.splits = False
+    want = [ids.tolist() for ids in plain.encode_batch(texts)]
+    for name, value in (("PART", 60), ("KEPT", 5)):
+        monkeypatch.setattr(bpe, name, value)
+        assert [ids.tolist() for ids in model(RANKS, bpe.SPLIT).encode_batch(texts)] == want
+    monkeypatch.setattr(bpe, "PART", 10_000)
+    quick = model(RANKS, bpe.SPLIT)
+    monkeypatch.setattr(bpe.Encoder, "_matches", None)  # no text is split by the pattern, character by character
+    assert [ids.tolist() for ids in quick.encode_batch(texts)] == want
+    monkeypatch.undo()
+    monkeypatch.setattr(bpe.SparkFiles, "get", lambda name: name)
+    monkeypatch.setattr(bpe.Block, "hashes", lambda self: np.zeros(len(self.starts), np.uint64))
+    assert [ids.tolist() for ids in model(RANKS, bpe.SPLIT).encode_batch(texts)] == want
+
+
 def test_bpe_equals_the_library_and_decodes(documents):
     r = random.Random(3)
     rows = edges("A text, it's here.") + [(100 + k, odd_text(r, r.randint(1, 200))) for k in range(60)] + [(200, "a" * 3000 + "!" * 500), (201, "ab" * 400)]
