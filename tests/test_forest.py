@@ -1,17 +1,23 @@
 """Encodings learnt from training rows, and boosting with a forest a round."""
 
 import math
+import uuid
 from functools import partial
 
+import numpy as np
 import pytest
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from cardwarden.functions.risk import prob_of_label
 from cardwarden.operators import models
 from cardwarden.operators.boosted_forest import ForestConfig, train_boosted_forest
+from cardwarden.operators import boosted_forest
 from cardwarden.operators.encoding import fit_encoding, fitted_stages, frequent_values, number_means
 from cardwarden.operators.scoring import PROBS
 from cardwarden.operators.splits import labelled_rows, train_split
+from cardwarden.operators.tree_growth import batch_columns, grow
 from cardwarden.operators.splits import test_split as held_out
 from cardwarden.schemas import KEY, LABEL
 from checks.queries import ONE
@@ -111,3 +117,53 @@ def test_both_models_compare(features):
     assert [r.model for r in models.compare(predictors, held_out(features)).collect()] == ["forest", "logistic"]
     with pytest.raises(ValueError, match="encoding"):
         models.train_logistic(train, models.LogisticConfig(encoding="other"))
+
+
+@pytest.mark.parametrize("least", [0.0, 0.05])
+def test_a_grown_tree_is_sparks(spark, least):
+    """On rows with more values than bins, zeros, and categories of which one is empty; two trees draw other rows and columns."""
+    rows = spark.range(3000).select(
+        "id", (F.round(F.randn(1) * 5, 2) * (F.rand(2) < 0.8).cast("int")).alias("a"), F.round(F.rand(3) * 9).alias("b"),
+        F.floor(F.rand(4) * 5).cast("string").alias("c"), F.randn(5).alias("noise"), (F.rand(6) + 0.1).alias("weight"),
+    )
+    rows = rows.withColumn("target", F.sin("a") + F.col("b") * (F.col("c") == "2").cast("int") / 5 + F.col("noise") / 3)
+    rows = StringIndexerModel.from_labels(list("03142") + ["none"], "c", "n").transform(rows)
+    rows = VectorAssembler(inputCols=["a", "b", "n"], outputCol="x").transform(rows).cache()
+    plain = rows.select(models.vector_to_array("x").alias("x"), "target", "weight", F.array(F.lit(True), F.col("id") % 3 > 0).alias("drawn"))
+
+    def read(batch):
+        return batch_columns(batch, "x"), batch["target"].to_numpy(), batch["weight"].to_numpy(), batch_columns(batch, "drawn")
+
+    grown = grow(plain, plain, read, [[0, 1, 2], [0, 2]], {2: 6}, 32, 4, lambda _: least)
+    for tree, columns, drawn in zip(grown, (["a", "b", "n"], ["a", "n"]), (rows, rows.where("id % 3 > 0"))):
+        ours = DecisionTreeRegressionModel(boosted_forest._spark_tree(spark, tree, {2: 6}, 3)).setFeaturesCol("x").setPredictionCol("p")
+        vectors = VectorAssembler(inputCols=columns, outputCol="own")
+        theirs = DecisionTreeRegressor(featuresCol="own", labelCol="target", weightCol="weight", maxDepth=4, maxBins=32, minWeightFractionPerNode=least).fit(vectors.transform(drawn))
+        both = theirs.transform(vectors.transform(ours.transform(rows))).select("p", "prediction").collect()
+        assert ours.numNodes == theirs.numNodes > 5
+        assert np.allclose([r.p for r in both], [r.prediction for r in both], rtol=1e-9)
+
+
+def test_a_round_takes_as_many_jobs_whatever_its_trees(spark, features):
+    rows, jobs = train_split(features), []
+    for trees in (1, 4):
+        group = uuid.uuid4().hex
+        spark.sparkContext.setJobGroup(group, "a round")
+        try:
+            train_boosted_forest(rows, ForestConfig(features=["TransactionAmt", "C1"], rounds=1, trees=trees, column_share=1.0, max_depth=3))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    assert 0 < jobs[1] <= jobs[0] + 2
+
+
+def test_equal_targets_are_not_split(spark):
+    rows = spark.range(1000).select(F.array(F.col("id").cast("double")).alias("x"), F.lit(0.1).alias("target"), (F.rand(1) + 0.1).alias("weight"), F.array(F.lit(True)).alias("drawn"))
+
+    def read(batch):
+        return batch_columns(batch, "x"), batch["target"].to_numpy(), batch["weight"].to_numpy(), batch_columns(batch, "drawn")
+
+    (tree,) = grow(rows, rows, read, [[0]], {}, 32, 4, lambda _: 0.0)
+    assert len(tree.feature) == 1
+    with pytest.raises(Exception, match="NaN or infinite"):
+        grow(rows.withColumn("x", F.array(F.lit(float("inf")))), rows, read, [[0]], {}, 32, 4, lambda _: 0.0)
