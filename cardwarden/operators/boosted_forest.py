@@ -103,30 +103,33 @@ def _fit_round(
     )
 
 
+def _doubles(spark: SparkSession, values: np.ndarray) -> JavaObject:
+    """An array of the JVM, sent at once."""
+    jvm = spark._jvm
+    array = spark.sparkContext._gateway.new_array(jvm.double, values.size)
+    jvm.java.nio.ByteBuffer.wrap(values.astype(">f8").tobytes()).asDoubleBuffer().get(array)
+    return array
+
+
 def _spark_tree(spark: SparkSession, tree: Tree, categories: dict[int, int], width: int) -> JavaObject:
     """The same tree as a model of Spark's, in which two leaves that predict the same are one."""
-    gateway, jvm = spark.sparkContext._gateway, spark._jvm
-    ml = jvm.org.apache.spark.ml
-    sums = gateway.new_array(jvm.double, tree.sums.size)
-    jvm.java.nio.ByteBuffer.wrap(tree.sums.astype(">f8").tobytes()).asDoubleBuffer().get(sums)
+    ml, arrays, variance = spark._jvm.org.apache.spark.ml, spark._jvm.java.util.Arrays, spark._jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator
+    node_leaf, node_inner, by_number, by_category = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit, ml.tree.CategoricalSplit
+    sums = _doubles(spark, tree.sums)
     prediction, impurity = tree.prediction.tolist(), tree.impurity.tolist()
     made: dict[int, tuple[JavaObject, bool]] = {}
     for n in reversed(range(len(tree.feature))):
-        stats = jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(jvm.java.util.Arrays.copyOfRange(sums, 3 * n, 3 * n + 3), 0)
+        stats = variance(arrays.copyOfRange(sums, 3 * n, 3 * n + 3), 0)
         left, right, f = int(tree.child[n]), int(tree.child[n]) + 1, int(tree.feature[n])
         if f < 0 or (made[left][1] and made[right][1] and prediction[left] == prediction[right]):
-            made[n] = ml.tree.LeafNode(prediction[n] if f < 0 else prediction[left], impurity[n], stats), True
+            made[n] = node_leaf(prediction[n] if f < 0 else prediction[left], impurity[n], stats), True
             continue
         if f in categories:
-            chosen = np.flatnonzero(tree.goes_left[n]).tolist()
-            array = gateway.new_array(jvm.double, len(chosen))
-            for i, c in enumerate(chosen):
-                array[i] = float(c)
-            split = ml.tree.CategoricalSplit(f, array, categories[f])
+            split = by_category(f, _doubles(spark, np.flatnonzero(tree.goes_left[n])), categories[f])
         else:
-            split = ml.tree.ContinuousSplit(f, float(tree.threshold[n]))
-        made[n] = ml.tree.InternalNode(prediction[n], impurity[n], float(tree.gain[n]), made[left][0], made[right][0], split, stats), False
-    uid = jvm.org.apache.spark.ml.util.Identifiable.randomUID("dtr")
+            split = by_number(f, float(tree.threshold[n]))
+        made[n] = node_inner(prediction[n], impurity[n], float(tree.gain[n]), made[left][0], made[right][0], split, stats), False
+    uid = ml.util.Identifiable.randomUID("dtr")
     return ml.regression.DecisionTreeRegressionModel(uid, made[0][0], width)
 
 
