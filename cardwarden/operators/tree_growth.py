@@ -271,6 +271,8 @@ def grow(
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         whole = blocks.agg(*[F.sum(F.col("sums")[i]) for i in range(1 + 3 * trees)]).first()
+        if not all(whole[1 + 3 * t] for t in range(trees)):
+            raise ValueError("a tree needs rows with a weight")
         grown = [Tree.root(np.array(whole[1 + 3 * t : 4 + 3 * t], float), 1 << (8 * np.dtype(kind).itemsize)) for t in range(trees)]
         lightest = [least(whole[0]) * tree.sums[0, 0] for tree in grown]
         active = [[0] if tree.impurity[0] > tree.rounding[0] else [] for tree in grown]

@@ -167,3 +167,5 @@ def test_equal_targets_are_not_split(spark):
     assert len(tree.feature) == 1
     with pytest.raises(Exception, match="NaN or infinite"):
         grow(rows.withColumn("x", F.array(F.lit(float("inf")))), rows, read, [[0]], {}, 32, 4, lambda _: 0.0)
+    with pytest.raises(ValueError, match="needs rows"):
+        grow(rows.withColumn("drawn", F.array(F.lit(False))), rows, read, [[0]], {}, 32, 4, lambda _: 0.0)
