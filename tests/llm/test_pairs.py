@@ -258,6 +258,31 @@ def test_passage_whose_seeds_all_lie_in_earlier_and_later_rows(documents, prose)
     assert {(r.doc_id, r.other_doc_id) for r in got} == {(11, 10)} and all(r.n_equal >= 60 for r in got)
 
 
+def test_all_pairs_that_share_a_passage_are_listed(documents, prose):
+    """The middle ones of many, with an exact or a changed passage, or one of a single word, meet each other as well."""
+    passage = prose(80, 720).split()
+    changed = lambda k: " ".join(w if i != 20 + k else "other" for i, w in enumerate(passage))
+    around = lambda k, text: prose(60, 730 + 2 * k) + " " + text + " " + prose(60, 731 + 2 * k)
+    rows = [(k, around(k, changed(k) if k < 6 else " ".join(passage))) for k in range(10)]
+    rows += [(k, around(k, "same " * 55)) for k in range(20, 25)]
+    got = passages.passages(documents(rows)).collect()
+    pairs = [(b, a) for a, b in [*combinations(range(10), 2), *combinations(range(20, 25), 2)]]
+    assert {(r.doc_id, r.other_doc_id) for r in got} == set(pairs) and all(r.n_equal >= 50 for r in got)
+
+
+def test_pairs_are_those_with_two_seeds(spark, monkeypatch):
+    """However many rows have a seed, and however it stands with others of the same rows."""
+    monkeypatch.setattr(passages, "HOT_ROWS", 3)
+    rng = np.random.default_rng(9)
+    for n in (12, 40):
+        sets = {row: {int(s) for s in np.flatnonzero(rng.random(20) < np.linspace(0.02, 0.9, 20))} for row in range(n)}
+        sets |= {n + k: {0, 1, 2, 30} for k in range(3)} | {n + 3 + k: {19} for k in range(4)}
+        seeds = spark.createDataFrame([(s, row) for row, own in sets.items() for s in own], "seed long, row long")
+        pairs, _ = passages._with_two_seeds(seeds)
+        expected = [(b, a) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 2]
+        assert sorted(map(tuple, pairs.collect())) == sorted(expected)
+
+
 def test_passages_inside_a_chain_that_is_not_alike_enough():
     r = np.random.default_rng(5)
     new = lambda n: r.integers(1, 1 << 32, n).astype(np.uint64)
