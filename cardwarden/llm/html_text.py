@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import BROADCAST_ROWS, salted_join, stored
+from cardwarden.llm.common import BROADCAST_ROWS, stored
 
 #: A subtree is template if it is in so many different pages of its host, however large the host is.
 LEAST_PAGES = 4
@@ -322,6 +322,14 @@ def _page_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["row", "host", "subtree"])
 
 
+def _own_templates(own: DataFrame, templates: DataFrame) -> DataFrame:
+    """Rows of own that are templates. The number of templates has no bound, so the join is never by broadcast, which goes through the driver.
+
+    A block of all pages of a large host gives it many narrow rows, which adaptive execution splits.
+    """
+    return own.join(templates.hint("merge"), ["host", "subtree"])
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [main_text(s, frozenset(t or ())) for s, t in zip(batch["html"].to_pylist(), batch["templates"].to_pylist(), strict=True)]
@@ -346,8 +354,7 @@ def page_texts(pages: DataFrame) -> DataFrame:
     else:
         # numbers are written once: another reading may number the rows in another way
         rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "pages")
-        # of the templates of a host, each page gets its own; a block of all pages of a large host is dealt over lanes
-        own = rows.select("row", "host", "html").mapInArrow(_page_subtrees, "row long, host string, subtree long")
-        own = salted_join(own, templates, ["host", "subtree"], "row", lanes=64)
+        # of the templates of a host, each page gets its own
+        own = _own_templates(rows.select("row", "host", "html").mapInArrow(_page_subtrees, "row long, host string, subtree long"), templates)
         joined = rows.join(own.groupBy("row").agg(F.collect_list("subtree").alias("templates")), "row", "left")
     return joined.select("page_id", "url", "html", "templates").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -251,6 +251,16 @@ def test_template_of_one_section_of_a_large_host_goes(spark, monkeypatch, broadc
     assert {r.page_id: r.text for r in got} == {k: f"Text {k}" for k in range(200)}
 
 
+def test_templates_beyond_the_bound_do_not_go_through_the_driver(spark, tmp_path):
+    """Neither broadcast as they look small in their files, nor repeated."""
+    spark.range(100).selectExpr("'h' as host", "id as subtree").write.parquet(f"{tmp_path}/templates")
+    spark.range(300).selectExpr("id as row", "'h' as host", "id % 200 as subtree").write.parquet(f"{tmp_path}/own")
+    own = html_text._own_templates(spark.read.parquet(f"{tmp_path}/own"), spark.read.parquet(f"{tmp_path}/templates"))
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan
+    assert {(r.row, r.subtree) for r in own.collect()} == {(k, k % 200) for k in range(300) if k % 200 < 100}
+
+
 def test_marked_article_and_what_is_no_text():
     page = """<header>Site</header><nav><ul><li>Menu</ul></nav><aside>Side</aside><article><header><h1>Head</h1></header>
     <p>One <i>two</i> three<script>no()</script>.<p>Four<div class="share-box ad">Buy</div><form><p>Mail</p></form>
