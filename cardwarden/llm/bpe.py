@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 
 #: Widths of the matrices. Longer matches are merged one by one.
 BUCKETS = (2, 4, 6, 8, 12, 16, 24, 32, 48, 64)
-#: Matches of which a task keeps the encoding.
-KEPT = 300_000
+#: Matches of which a task keeps the encoding, and their characters in all.
+KEPT, KEPT_POINTS = 300_000, 4_000_000
 #: Matches that are handled at once, however long a text is.
 BLOCK = 200_000
+#: Numbers of a padded matrix; a merge holds some ten matrices of its size.
+CELLS = 400_000
 #: The pattern that Splitter knows, and the most characters that it splits at once.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PART = 1_000_000
@@ -164,8 +166,9 @@ class Vocabulary:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for width in BUCKETS:
             rows = np.flatnonzero((size > low) & (size <= width))
-            for at in range(0, len(rows), 50_000):
-                part = rows[at : at + 50_000]
+            most = CELLS // width
+            for at in range(0, len(rows), most):
+                part = rows[at : at + most]
                 grid = np.arange(width)
                 inside = grid < size[part][:, None]
                 source = np.where(inside, start[part][:, None] + grid, 0)
@@ -298,7 +301,7 @@ class Encoder:
         self.point_start = np.zeros(0, np.int64)
         self.point_size = np.zeros(0, np.int64)
         self.rows = np.zeros(0, np.int64)
-        self.learnt = 0
+        self.learnt = self.characters = 0
         self.ids = np.zeros(1 << 16, np.int64)
         self.used = 0
         self.start = np.zeros(1 << 16, np.int64)
@@ -318,6 +321,7 @@ class Encoder:
         self.start[n : n + len(words)] = self.used + np.cumsum(size) - size
         self.used = end
         self.learnt += len(words)
+        self.characters += sum(map(len, words))
         return n
 
     def _matches(self, text: str) -> Iterator[list[str]]:
@@ -351,9 +355,13 @@ class Encoder:
                 size += len(text) + 1
         return out + (self._block(held) if held else [])
 
-    def _block(self, texts: list[str]) -> list[np.ndarray]:
-        if self.learnt > KEPT:
+    def _forget(self) -> None:
+        """Begin anew if what is kept is more than it should be, in matches or in characters."""
+        if self.learnt > KEPT or self.characters > KEPT_POINTS:
             self._reset()
+
+    def _block(self, texts: list[str]) -> list[np.ndarray]:
+        self._forget()
         block = Block(texts)
         keys, first, key = np.unique(block.hashes(), return_index=True, return_inverse=True)
         at = np.searchsorted(self.hashes, keys)
@@ -387,8 +395,7 @@ class Encoder:
 
     def _numbered(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, split by the pattern itself."""
-        if self.learnt > KEPT:
-            self._reset()
+        self._forget()
         split = [list(self._matches(t)) for t in texts]
         known = self.number
         new = {w: None for parts in split for words in parts for w in words if w not in known}

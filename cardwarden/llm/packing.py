@@ -26,6 +26,8 @@ from cardwarden.llm import bpe
 ROW_IDS = 8_192
 #: Ids that a task packs together.
 GROUP_IDS = 4_000_000
+#: Options for writing the matrices. A reader takes up to 4,096 rows of a group at once, and a row has 64 KB before it is compressed.
+WRITING = {"parquet.block.row.count.limit": "128"}
 #: Id after the last byte of a text, and the padding; token ids have their own, see bpe.end_id().
 END_ID, PAD_ID = 256, 257
 
@@ -172,7 +174,7 @@ def packed_texts(docs: DataFrame, rank_file: str, pattern: str, row_ids: int = R
 
 def write_packed(packed: DataFrame, path: str) -> None:
     """Write packed rows as Parquet; ids and positions are the rows of two matrices."""
-    packed.write.parquet(path)
+    packed.write.options(**WRITING).parquet(path)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import regex
 import tiktoken
@@ -226,6 +227,26 @@ def test_best_fit_takes_the_tightest_row():
     assert sorted(50 - sum(lengths[i] for i in row) for row in rows) == sorted(room)
 
 
+def test_matrices_are_written_in_small_groups_of_rows(spark, tmp_path):
+    """A reader holds whole groups, uncompressed."""
+    rows = spark.range(0, 700, 1, 1).selectExpr("id as doc_id", "cast(repeat('abcd', 8000) as binary) as ids")
+    packing.write_packed(packing.packed_rows(rows), f"{tmp_path}/packed")
+    files = [pq.ParquetFile(p).metadata for p in tmp_path.glob("packed/*.parquet")]
+    sizes = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(sizes) == 700 and max(sizes) <= 128
+
+
+def test_encoder_keeps_a_bounded_number_of_characters(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_POINTS", 1000)
+    vocabulary = bpe.Vocabulary({bytes([b]): b for b in range(256)} | {b"ab": 256})
+    for pattern in (bpe.SPLIT, r"\S+|\s+"):
+        encoder = bpe.Encoder(vocabulary, pattern)
+        for k in range(20):
+            text = " ".join(c * 150 + "ab" for c in "cdefg") + str(k)
+            assert b"".join(vocabulary.decode(i) for i in encoder.encode_batch([text])) == text.encode()
+            assert encoder.characters <= 1000 + len(text)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body>
 <div><p>Welcome to our site</p><a href="/x">Home</a></div><section>{body}</section><!-- c --><div><p>All rights &copy; us</p></div></body></html>"""
 
