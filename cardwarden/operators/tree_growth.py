@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 #: Rows whose values say where columns may be split, at the least (all of them if there are fewer), as in Spark's trees.
 LEAST_SAMPLED = 10_000
 
+#: Rows of a block of bins; a task adds a block's sums to its own, which is dear for small blocks.
+BLOCK_ROWS = 50_000
+
 #: Differences of this share of the mean square of a node's targets are rounding.
 _ROUNDING = 1e-12
 
@@ -83,8 +86,9 @@ class Tree:
 
         return self._walk(columns.shape[1], left)
 
-    def leaf_of_bins(self, bins: np.ndarray) -> np.ndarray:
-        return self._walk(bins.shape[1], lambda node, rows: self.goes_left[node][bins[self.feature[node]][rows]])
+    def leaf_of_bins(self, bins: dict[int, np.ndarray], rows: int) -> np.ndarray:
+        """bins: by column, of those that the tree may split on."""
+        return self._walk(rows, lambda node, here: self.goes_left[node][bins[self.feature[node]][here]])
 
 
 def _variance(sums: np.ndarray) -> np.ndarray:
@@ -167,55 +171,78 @@ def _places(group: pa.Table, trees: int, most: int) -> pa.Table:
     return pa.table({"feature": pa.array([feature] * trees, pa.int32()), "tree": pa.array(range(trees), pa.int32()), "places": pa.array([p.tolist() for p in places], pa.list_(pa.float64()))})
 
 
-def _binned(batches: Iterator[pa.RecordBatch], read: Reader, places: list[dict[int, np.ndarray | None]], kind: type) -> Iterator[pa.RecordBatch]:
-    """A row for each batch: bins by tree, column and row, target and weight, drawn rows, and sums over all of them."""
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about so many, if there are as many."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _binned(batches: Iterator[pa.RecordBatch], read: Reader, places: list[dict[int, np.ndarray | None]], kind: type) -> Iterator[pa.RecordBatch]:
+    """A row for each block: bins of drawn rows by tree and column, target and weight, drawn rows, and sums over all of them."""
+    for batch in _gathered(batches, BLOCK_ROWS):
         if not batch.num_rows:
             continue
         values, target, weight, drawn = read(batch)
         if not (np.isfinite(values).all() and np.isfinite(target).all()):
             raise ValueError("values must not be NaN or infinite")
-        bins = np.zeros((len(places), *values.shape), kind)
+        rows = [np.flatnonzero(d) for d in drawn]
+        bins = [np.zeros((len(columns), len(own)), kind) for columns, own in zip(places, rows, strict=True)]
+        spots = [{f: i for i, f in enumerate(columns)} for columns in places]
         for f, x in enumerate(values):
             cuts = {tree: columns[f] for tree, columns in enumerate(places) if f in columns}
             if any(c is None for c in cuts.values()):
-                bins[list(cuts), f] = x
+                for tree in cuts:
+                    bins[tree][spots[tree][f]] = x[rows[tree]]
             elif cuts:  # a place among the cuts of all trees tells the bin of each
                 every = np.unique(np.concatenate(list(cuts.values())))
                 at = np.searchsorted(every, x)
                 for tree, own in cuts.items():
-                    bins[tree, f] = np.append(np.searchsorted(own, every), len(own)).astype(kind)[at]
+                    bins[tree][spots[tree][f]] = np.append(np.searchsorted(own, every), len(own)).astype(kind)[at[rows[tree]]]
         sums = [float(weight.sum())]
-        for rows in drawn:
-            w, y = weight[rows], target[rows]
+        for own in rows:
+            w, y = weight[own], target[own]
             sums += [float(s) for s in (w.sum(), (w * y).sum(), (w * y * y).sum())]
-        blocks = [bins, target, weight, drawn]
+        blocks = [b"".join(b.tobytes() for b in bins), target.tobytes(), weight.tobytes(), drawn.tobytes()]
         yield pa.RecordBatch.from_arrays(
-            [*[pa.array([b.tobytes()], pa.binary()) for b in blocks], pa.array([sums], pa.list_(pa.float64()))], ["bins", "target", "weight", "drawn", "sums"]
+            [*[pa.array([b], pa.binary()) for b in blocks], pa.array([sums], pa.list_(pa.float64()))], ["bins", "target", "weight", "drawn", "sums"]
         )
 
 
-def _added(batches: Iterator[pa.RecordBatch], trees: list[Tree], active: list[list[int]], sizes: list[dict[int, int]], width: int, kind: type) -> Iterator[pa.RecordBatch]:
-    """For each tree and column: sums by active node and bin."""
-    total = {(t, f): np.zeros((3, len(active[t]) * n)) for t, columns in enumerate(sizes) if active[t] for f, n in columns.items()}
+def _added(batches: Iterator[pa.RecordBatch], trees: list[Tree], active: list[list[int]], sizes: list[dict[int, int]], columns: list[list[int]], kind: type) -> Iterator[pa.RecordBatch]:
+    """For each tree and column: sums by active node and bin. columns: those that have bins, by tree."""
+    total = {(t, f): np.zeros((3, len(active[t]) * n)) for t, own in enumerate(sizes) if active[t] for f, n in own.items()}
     for batch in batches:
         for i in range(batch.num_rows):
             target, weight = (np.frombuffer(batch[c][i].as_buffer()) for c in ("target", "weight"))
-            bins = np.frombuffer(batch["bins"][i].as_buffer(), kind).reshape(len(trees), width, -1)
+            bins = np.frombuffer(batch["bins"][i].as_buffer(), kind)
             drawn = np.frombuffer(batch["drawn"][i].as_buffer(), bool).reshape(len(trees), -1)
+            start = 0
             for t, tree in enumerate(trees):
+                rows = np.flatnonzero(drawn[t])
+                end = start + len(columns[t]) * len(rows)
+                own = dict(zip(columns[t], bins[start:end].reshape(len(columns[t]), -1), strict=True))
+                start = end
                 if not active[t]:
                     continue
-                slot = np.full(len(tree.feature), -1)
-                slot[active[t]] = np.arange(len(active[t]))
-                node = slot[tree.leaf_of_bins(bins[t])]
-                rows = np.flatnonzero(drawn[t] & (node >= 0))
-                node, w, y = node[rows], weight[rows], target[rows]
+                nodes = len(active[t])
+                slot = np.full(len(tree.feature), nodes)  # rows of other nodes go to a place of their own, which is left out
+                slot[active[t]] = np.arange(nodes)
+                node, w, y = slot[tree.leaf_of_bins(own, len(rows))], weight[rows], target[rows]
+                some = np.flatnonzero(node < nodes)
+                few = 4 * len(some) < 3 * len(node)
+                if few:
+                    node, w, y = node[some], w[some], y[some]
                 parts = (w, w * y, w * y * y)
                 for f, n in sizes[t].items():
-                    place = node * n + bins[t, f][rows]
+                    place = node * n + (own[f][some] if few else own[f])
                     for k, part in enumerate(parts):
-                        total[t, f][k] += np.bincount(place, part, len(active[t]) * n)
+                        total[t, f][k] += np.bincount(place, part, (nodes + 1) * n)[: nodes * n]
     if total:
         keys = list(total)
         yield pa.RecordBatch.from_arrays(
@@ -255,7 +282,7 @@ def grow(
     ``categories`` has the number of categories of columns that are not numbers. ``least`` gives, for the weight of all rows,
     the share of a tree's weight that each leaf must have. What reaches the driver is bounded by trees, nodes, columns and bins.
     """
-    trees, width = len(columns), max(max(c) for c in columns) + 1
+    trees = len(columns)
     kind = np.uint8 if max(max_bins, *categories.values(), 0) <= 256 else np.uint16
     found = (
         sample.mapInArrow(lambda b: _sampled(b, read), "feature int, x binary, weights binary")
@@ -264,7 +291,6 @@ def grow(
         .collect()
     )
     numbers = {(r["tree"], r["feature"]): np.array(r["places"]) for r in found}
-    width = max([width, *[f + 1 for _, f in numbers]])
     places = [{f: None if f in categories else numbers[t, f] for f in c} for t, c in enumerate(columns)]
     sizes = [{f: categories[f] if cuts is None else len(cuts) + 1 for f, cuts in p.items() if cuts is None or len(cuts)} for p in places]
     blocks = rows.mapInArrow(lambda b: _binned(b, read, places, kind), "bins binary, target binary, weight binary, drawn binary, sums array<double>")
@@ -279,7 +305,7 @@ def grow(
         for level in range(max_depth):
             if not any(active):
                 break
-            for t, node, pick, left in _level(blocks, grown, active, sizes, width, kind, set(categories), lightest):
+            for t, node, pick, left in _level(blocks, grown, active, sizes, [list(p) for p in places], kind, set(categories), lightest):
                 goes = np.zeros(grown[t].goes_left.shape[1], bool)
                 goes[: sizes[t][pick["feature"]]] = np.frombuffer(pick["goes_left"], bool)
                 cuts = places[t][pick["feature"]]
@@ -290,12 +316,12 @@ def grow(
     return grown
 
 
-def _level(blocks, grown, active, sizes, width, kind, nominal, lightest) -> Iterator[tuple[int, int, dict, np.ndarray]]:
+def _level(blocks, grown, active, sizes, columns, kind, nominal, lightest) -> Iterator[tuple[int, int, dict, np.ndarray]]:
     """(tree, node, split, sums of the left child) of the active nodes that gain by a split."""
     impurity = [tree.impurity[nodes] for tree, nodes in zip(grown, active, strict=True)]
     found = (
         blocks.select("bins", "target", "weight", "drawn")
-        .mapInArrow(lambda b: _added(b, grown, active, sizes, width, kind), "tree int, feature int, sums binary")
+        .mapInArrow(lambda b: _added(b, grown, active, sizes, columns, kind), "tree int, feature int, sums binary")
         .groupBy("tree", "feature")
         .applyInArrow(
             lambda group: _chosen(group, nominal, impurity, lightest),

@@ -5,6 +5,7 @@ import uuid
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
@@ -17,6 +18,7 @@ from cardwarden.operators import boosted_forest
 from cardwarden.operators.encoding import fit_encoding, fitted_stages, frequent_values, number_means
 from cardwarden.operators.scoring import PROBS
 from cardwarden.operators.splits import labelled_rows, train_split
+from cardwarden.operators import tree_growth
 from cardwarden.operators.tree_growth import batch_columns, grow
 from cardwarden.operators.splits import test_split as held_out
 from cardwarden.schemas import KEY, LABEL
@@ -169,3 +171,17 @@ def test_equal_targets_are_not_split(spark):
         grow(rows.withColumn("x", F.array(F.lit(float("inf")))), rows, read, [[0]], {}, 32, 4, lambda _: 0.0)
     with pytest.raises(ValueError, match="needs rows"):
         grow(rows.withColumn("drawn", F.array(F.lit(False))), rows, read, [[0]], {}, 32, 4, lambda _: 0.0)
+
+
+def test_bins_are_of_drawn_rows_and_columns_and_in_large_blocks():
+    rng = np.random.default_rng(3)
+    batches = [pa.RecordBatch.from_arrays([pa.array(rng.random(40))], ["x"]) for _ in range(5)]
+    drawn = lambda x: np.array([x < 0.5, x >= 0.25])
+    read = lambda batch: (np.array([batch["x"].to_numpy()] * 3), batch["x"].to_numpy(), np.ones(batch.num_rows), drawn(batch["x"].to_numpy()))
+    places = [{0: np.array([0.1, 0.3])}, {1: np.array([0.5]), 2: np.array([0.2, 0.9])}]
+    (block,) = tree_growth._binned(iter(batches), read, places, np.uint8)
+    x = np.concatenate([b["x"].to_numpy() for b in batches])
+    first, second = (x[own] for own in drawn(x))
+    expected = [np.searchsorted(places[0][0], first), np.searchsorted([0.5], second), np.searchsorted([0.2, 0.9], second)]
+    assert np.frombuffer(block["bins"][0].as_py(), np.uint8).tolist() == np.concatenate(expected).tolist()
+    assert np.frombuffer(block["target"][0].as_py()).tolist() == x.tolist()
